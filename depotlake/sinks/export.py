@@ -1,0 +1,106 @@
+"""Exports of the gold tables, the acknowledgement and the serving load."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from depotlake.operators.reconcile import layer_counts
+from depotlake.schemas import GOLD, Table
+
+# Fixed value: the content of the marker that follows a complete export.
+ACKNOWLEDGED = "acknowledged"
+
+# Text keeps the blanks at its ends and times their microseconds, in both directions.
+CSV_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
+}
+
+
+def export(df: DataFrame, path: str, fmt: str, files: int | None = None) -> None:
+    """Write a CSV or Parquet copy.
+
+    ``files`` fixes the number of files for consumers that need it. By default the copy is
+    written in parallel, one file per task; a single file would send the whole table
+    through one task.
+    """
+    if files is not None:
+        df = df.repartition(files)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if fmt == "csv":
+        writer.options(**CSV_OPTIONS).csv(path)
+    elif fmt == "parquet":
+        writer.parquet(path)
+    else:
+        raise ValueError(f"unknown export format {fmt!r}")
+
+
+def read_export(spark: SparkSession, path: str, fmt: str, table: Table) -> DataFrame:
+    reader = spark.read.schema(table.schema)
+    if fmt == "csv":
+        # Any value that does not fit its column fails the read.
+        return reader.options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return reader.parquet(path)
+
+
+def publish(
+    spark: SparkSession,
+    db: str,
+    out: str,
+    tables: Iterable[Table] = GOLD,
+    files: int | None = None,
+) -> DataFrame:
+    """Export every table as CSV and Parquet, then write the acknowledgement.
+
+    The marker is written only after both copies of each table read back with the table's
+    row count. Returns the counts: ``layer, row_count``.
+    """
+    tables = list(tables)
+    frames = {}
+    for table in tables:
+        df = spark.table(f"{db}.{table.name}").select(*table.schema.fieldNames())
+        export(df, f"{out}/tables/{table.name}", "csv", files)
+        export(df, f"{out}/{table.name}_parquet", "parquet", files)
+        frames[table.name] = df
+        for fmt, path in (("csv", f"{out}/tables/{table.name}"), ("parquet", f"{out}/{table.name}_parquet")):
+            frames[f"{table.name} {fmt}"] = read_export(spark, path, fmt, table)
+    report = layer_counts(frames)
+    counts = {row.layer: row.row_count for row in report.collect()}
+    for table in tables:
+        for fmt in ("csv", "parquet"):
+            if counts[f"{table.name} {fmt}"] != counts[table.name]:
+                raise RuntimeError(f"{table.name}: the {fmt} export has not the table's row count")
+    acknowledgement = spark.createDataFrame([(ACKNOWLEDGED,)], "status STRING")
+    acknowledgement.write.mode("overwrite").text(f"{out}/_success")
+    return spark.createDataFrame(sorted(counts.items()), "layer STRING, row_count BIGINT")
+
+
+def load_serving(spark: SparkSession, export_dir: str, serving_db: str, table: Table) -> None:
+    """Create the serving table if missing and replace its rows by the Parquet export.
+
+    Strings have a maximum length there and a longer value fails the load. The rows are
+    loaded beside the table, which is pointed at them once they are complete, so a failed
+    load leaves the table as it was.
+    """
+    name = f"{serving_db}.{table.name}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table.serving_ddl()}) USING parquet")
+    load = uuid.uuid4().hex
+    home = spark.catalog.getDatabase(serving_db).locationUri.rstrip("/")
+    folder = f"{home}/{table.name}-{load}"
+    rows = read_export(spark, f"{export_dir}/{table.name}_parquet", "parquet", table)
+    spark.sql(
+        f"CREATE TABLE {name}_{load} ({table.serving_ddl()}) USING parquet LOCATION '{folder}'"
+    )
+    try:
+        rows.select(*table.schema.fieldNames()).write.insertInto(f"{name}_{load}")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    finally:
+        # An external table: dropping it keeps the files.
+        spark.sql(f"DROP TABLE {name}_{load}")
