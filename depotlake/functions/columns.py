@@ -18,9 +18,18 @@ def normalise_id(column: Column | str) -> Column:
 
 
 def parse_date(column: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The first format that fits; null when none does, also under ANSI mode."""
+    """The first format that fits; null when none does, also under ANSI mode.
+
+    A format is tried only on text that holds its separator: a failed parse costs far more
+    than a successful one.
+    """
     text = F.trim(column)
-    return F.coalesce(*(F.try_to_date(text, fmt) for fmt in formats))
+
+    def attempt(fmt: str) -> Column:
+        separator = next((c for c in fmt if not c.isalpha()), "")
+        return F.when(text.contains(separator), F.try_to_date(text, fmt))
+
+    return F.coalesce(*(attempt(fmt) for fmt in formats))
 
 
 def parse_timestamp(column: Column | str) -> Column:

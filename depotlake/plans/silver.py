@@ -26,7 +26,8 @@ from depotlake.operators.quality import add_audit, run_time, split_rejects
 BATCH_SOURCE = "aws-s3"
 STREAM_SOURCE = "TMS_live"
 
-INVENTORY_KEYS = ("warehouse_id", "product_id")
+# The most selective column first: it decides most comparisons of the sort.
+INVENTORY_KEYS = ("product_id", "warehouse_id")
 SALES_KEYS = ("order_id", "product_id", "warehouse_id")
 SHIPMENT_KEYS = ("shipment_id",)
 

@@ -35,13 +35,18 @@ def run_stream(
     checkpoint: str,
     name: str | None = None,
     partition_by: Sequence[str] = (),
+    writers: int = 4,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once per checkpoint.
 
     ``available_now`` handles what is there and stops; otherwise the query keeps running
-    with back-to-back micro-batches.
+    with back-to-back micro-batches. With ``partition_by``, each micro-batch writes at most
+    ``writers`` files per partition, which also share the rows of a large partition.
     """
+    if partition_by:
+        spread = F.pmod(F.xxhash64(*(c for c in df.columns if c not in partition_by)), F.lit(writers))
+        df = df.repartition(*partition_by, spread)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -49,7 +54,7 @@ def run_stream(
         writer = writer.partitionBy(*partition_by)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    # State may outgrow the heap: a shipment id that is only ever added needs a disk-backed store.
+    # State that outgrows the heap needs a store on disk: mode "first" never forgets a key.
     with conf(df.sparkSession, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         return writer.start(path)
 

@@ -1,0 +1,124 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from depotlake.functions import (
+    canonical_status,
+    is_recent,
+    normalise_id,
+    parse_date,
+    parse_location,
+    parse_timestamp,
+    valid_shipment_key,
+)
+from tests.helpers import rows
+
+
+def one(spark, value, expression, kind="string"):
+    df = spark.createDataFrame([(value,)], f"v {kind}")
+    return df.select(expression(F.col("v")).alias("r")).collect()[0][0]
+
+
+@pytest.mark.parametrize("text, expected", [(" wh1 ", "WH1"), ("WH1", "WH1"), (None, None)])
+def test_normalise_id(spark, text, expected):
+    assert one(spark, text, normalise_id) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("7/2/2025", date(2025, 7, 2)),
+        ("07/27/2025", date(2025, 7, 27)),
+        ("2025-07-02", date(2025, 7, 2)),
+        (" 2025-07-02 ", date(2025, 7, 2)),
+        ("13/45/2025", None),
+        ("2025-13-01", None),
+        ("263", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_date(spark, text, expected):
+    assert one(spark, text, parse_date) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2025-08-31T13:26:34Z", datetime(2025, 8, 31, 13, 26, 34)),
+        ("2025-08-31 13:26:34", datetime(2025, 8, 31, 13, 26, 34)),
+        ("yesterday", None),
+        (None, None),
+    ],
+)
+def test_parse_timestamp(spark, text, expected):
+    assert one(spark, text, parse_timestamp) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("in transit", "In Transit"),
+        ("intransit to depot", "In Transit"),
+        ("delayed", "Delayed"),
+        ("delivered", "Delivered"),
+        ("delayed in transit", "In Transit"),
+        ("delay", "Unknown"),
+        ("Delayed", "Unknown"),  # the caller lower-cases
+        ("", "Unknown"),
+        (None, "Unknown"),
+    ],
+)
+def test_canonical_status(spark, text, expected):
+    assert one(spark, text, canonical_status) == expected
+
+
+@pytest.mark.parametrize(
+    "text, latitude, longitude, city",
+    [
+        ("12.9,77.5", 12.9, 77.5, None),
+        (" 12.9,77.5", 12.9, 77.5, None),
+        ("-1.2,+3.4", -1.2, 3.4, None),
+        ("12.9, 77.5", None, None, "12.9, 77.5"),
+        ("1.2.3,4", None, 4.0, None),
+        (" new DELHI ", None, None, "New Delhi"),
+        ("", None, None, ""),
+        (None, None, None, None),
+    ],
+)
+def test_parse_location(spark, text, latitude, longitude, city):
+    df = spark.createDataFrame([(text,)], "location string")
+    parsed = df.select(*(c.alias(n) for n, c in parse_location(F.col("location")).items()))
+    assert rows(parsed) == [(latitude, longitude, city)]
+
+
+def test_is_recent_bounds_and_null(spark):
+    now = F.lit(datetime(2025, 8, 31, 12)).cast("timestamp")
+    df = spark.createDataFrame(
+        [
+            (1, datetime(2025, 8, 30, 12)),
+            (2, datetime(2025, 8, 30, 11, 59, 59)),
+            (3, datetime(2025, 9, 1)),
+            (4, None),
+        ],
+        "id int, ts timestamp",
+    )
+    assert rows(df.select("id", is_recent(F.col("ts"), now))) == [(1, True), (2, False), (3, True), (4, None)]
+
+
+@pytest.mark.parametrize(
+    "shipment, warehouse, kept",
+    [
+        ("SH1", "WH12", True),
+        ("SH1", "WHX", False),
+        ("SH1", "wh12", False),
+        ("SH1", "WH", False),
+        ("SH1", " WH1", False),
+        ("SH1", None, False),
+        (None, "WH1", False),
+    ],
+)
+def test_valid_shipment_key(spark, shipment, warehouse, kept):
+    df = spark.createDataFrame([(shipment, warehouse)], "s string, w string")
+    assert (df.filter(valid_shipment_key(F.col("s"), F.col("w"))).count() == 1) is kept

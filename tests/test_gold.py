@@ -1,0 +1,170 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from depotlake.plans import gold
+from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE, GOLD
+from depotlake.sources import warehouse_mapping
+from tests.conftest import AS_OF
+from tests.helpers import plan, rows
+
+STOCK = "warehouse_id string, product_id string, product_name string, quantity_in_stock int, last_restock_date date"
+OLD = date(2025, 1, 1)
+
+
+def products(spark, *found):
+    return spark.createDataFrame(list(found), DIM_PRODUCT.schema)
+
+
+def test_dim_product_is_one_row_per_product_and_scd1(spark):
+    stock = spark.createDataFrame(
+        [
+            ("WH1", "P1", "Lamp", 1, date(2025, 7, 1)),
+            ("WH2", "P1", "Lamp XL", 1, date(2025, 7, 2)),  # restocked last
+            ("WH1", "P2", "Desk", 1, date(2025, 7, 1)),
+            ("WH2", "P2", "Desk", 1, date(2025, 7, 1)),
+            ("WH1", "P3", "New", 1, None),
+            ("WH1", "P4", None, 1, None),
+            ("WH1", "P5", "Named", 1, None),
+        ],
+        STOCK,
+    )
+    target = products(
+        spark,
+        ("P1", "Lamp", OLD, "s"),
+        ("P2", "Desk", OLD, "s"),
+        ("P4", "Known", OLD, "s"),
+        ("P5", None, OLD, "s"),
+        ("P9", "Gone", OLD, "s"),
+    )
+    expected = [
+        ("P1", "Lamp XL", AS_OF, "inventory_silver"),
+        ("P2", "Desk", OLD, "s"),
+        ("P3", "New", AS_OF, "inventory_silver"),
+        ("P4", "Known", OLD, "s"),  # a null is no change
+        ("P5", None, OLD, "s"),
+        ("P9", "Gone", OLD, "s"),
+    ]
+    merged = gold.dim_product(target, stock, AS_OF)
+    assert rows(merged) == expected
+    assert rows(gold.dim_product(merged, stock, AS_OF + timedelta(days=1))) == expected
+
+
+def test_dim_warehouse_from_the_static_map(spark):
+    empty = spark.createDataFrame([], DIM_WAREHOUSE.schema)
+    first = gold.dim_warehouse(empty, warehouse_mapping(spark), OLD)
+    assert rows(first.select("warehouse_id", "city")) == [
+        ("WH1", "Mumbai"),
+        ("WH2", "Delhi"),
+        ("WH3", "Bangalore"),
+        ("WH4", "Chennai"),
+        ("WH5", "Hyderabad"),
+    ]
+    assert spark.table("warehouse_mapping").count() == 5
+    moved = warehouse_mapping(spark, [("WH1", "Pune"), ("WH2", "Delhi")])
+    second = gold.dim_warehouse(first, moved, AS_OF).filter("warehouse_id < 'WH3'")
+    assert rows(second) == [("WH1", "Pune", AS_OF, "static_mapping"), ("WH2", "Delhi", OLD, "static_mapping")]
+
+
+@pytest.mark.parametrize("quantity, status", [(0, "Low Stock"), (49, "Low Stock"), (50, "OK"), (51, "OK"), (None, "OK")])
+def test_low_stock_threshold(spark, quantity, status):
+    stock = spark.createDataFrame([("WH1", "P1", "Lamp", quantity, OLD)], STOCK)
+    assert rows(gold.fact_inventory_daily(stock, AS_OF)) == [("WH1", "P1", quantity, OLD, AS_OF, status)]
+
+
+def test_low_stock_top_has_a_total_order(spark):
+    stock = spark.range(100).select(
+        F.lit("WH1").alias("warehouse_id"),
+        F.format_string("P%03d", "id").alias("product_id"),
+        F.lit("n").alias("product_name"),
+        (F.col("id") % 5).cast("int").alias("quantity_in_stock"),
+        F.lit(OLD).alias("last_restock_date"),
+    )
+    top = gold.low_stock_top(gold.fact_inventory_daily(stock.repartition(7), AS_OF), 3)
+    assert [r.product_id for r in top.collect()] == ["P000", "P005", "P010"]
+    assert "TakeOrderedAndProject" in plan(top)
+
+
+def test_fact_sales_daily_sums_and_leaves_undated_out(spark):
+    sales = spark.createDataFrame(
+        [("O1", "P1", 2, OLD, "WH1"), ("O2", "P1", 3, OLD, "WH1"), ("O3", "P1", 4, None, "WH1")],
+        "order_id string, product_id string, quantity_sold int, sale_date date, warehouse_id string",
+    )
+    daily = gold.fact_sales_daily(sales)
+    assert rows(daily) == [("WH1", "P1", OLD, 5)]
+    assert daily.schema["qty_sold"].dataType.simpleString() == "bigint"
+
+
+def shipments(spark, *found):
+    return spark.createDataFrame(
+        [(s, w, st, ts, "reason", ing, "f", "x", st == "Delayed", True, None, None, "City") for s, w, st, ts, ing in found],
+        "shipment_id string, warehouse_id string, status string, timestamp timestamp, delay_reason string,"
+        " ingestion_time timestamp, source_file string, source_system string, is_delayed boolean,"
+        " is_recent boolean, latitude double, longitude double, city string",
+    )
+
+
+def test_fact_shipments_checks_the_age_after_the_choice(spark):
+    def days(n):
+        return datetime(2025, 8, 31) - timedelta(days=n)
+
+    now = datetime(2025, 8, 31, 6)
+    facts = gold.fact_shipments(
+        shipments(
+            spark,
+            ("S1", "WH1", "Delayed", days(90), now),  # exactly 90 days
+            ("S2", "WH1", "Delayed", days(91), now),  # too old
+            ("S3", "WH1", "Delayed", days(1), now - timedelta(hours=1)),
+            ("S3", "WH1", "Delivered", days(100), now),  # ingested last, too old: hides the other
+            ("S4", "WH1", "In Transit", None, now),
+        ),
+        AS_OF,
+    )
+    assert rows(facts.select("shipment_id", "event_date")) == [("S1", date(2025, 6, 2))]
+
+
+def test_snapshot_and_alerts(spark):
+    stock = spark.createDataFrame(
+        [("WH1", "P1", "Lamp", 10, OLD), ("WH1", "P2", "Desk", 99, OLD), ("WH2", "P1", "Lamp", 5, OLD), ("WH1", "P8", "No dim", 1, OLD)],
+        STOCK,
+    )
+    facts = gold.fact_inventory_daily(stock, AS_OF).unionByName(
+        gold.fact_inventory_daily(stock, AS_OF - timedelta(days=1))
+    )
+    dims = products(spark, ("P1", "Lamp", OLD, "s"), ("P2", "Desk", OLD, "s"))
+    t1, t2 = datetime(2025, 8, 30), datetime(2025, 8, 31)
+    states = gold.fact_shipments(
+        shipments(
+            spark,
+            ("S1", "WH1", "In Transit", t1, t1),
+            ("S2", "WH1", "Delayed", t2, t2),
+            ("S3", "WH1", "Delivered", t2, t2),
+            ("S4", "WH9", "Delayed", t2, t2),
+        ),
+        AS_OF,
+    )
+    # The fact keeps a shipment per day, so an older active state of S3 must not come back.
+    states = states.unionByName(
+        states.filter("shipment_id = 'S3'").withColumns({"status": F.lit("Delayed"), "event_ts": F.lit(t1), "event_date": F.lit(t1.date())})
+    )
+    for cell_rows in (1, 8192):
+        snapshot = gold.supplychain_snapshot(facts, dims, states, AS_OF, cell_rows)
+        assert snapshot.columns == GOLD[-1].schema.fieldNames()
+        assert rows(snapshot.select("warehouse_id", "product_id", "stock_status", "shipment_id", "location")) == [
+            ("WH1", "P1", "Low Stock", "S1", "City"),
+            ("WH1", "P1", "Low Stock", "S2", "City"),
+            ("WH1", "P2", "OK", "S1", "City"),
+            ("WH1", "P2", "OK", "S2", "City"),
+        ]
+    alerts = gold.alerts_shipments(states.withColumn("delay_reason", F.lit(None).cast("string")))
+    assert rows(alerts.select("shipment_id", "delay_reason", "event_date")) == [
+        ("S2", "Traffic", date(2025, 8, 31)),
+        ("S3", "Traffic", date(2025, 8, 30)),
+        ("S4", "Traffic", date(2025, 8, 31)),
+    ]
+
+
+def test_within_retention(spark):
+    df = spark.createDataFrame([(AS_OF - timedelta(days=90),), (AS_OF - timedelta(days=91),)], "d date")
+    assert rows(gold.within_retention(df, "d", AS_OF)) == [(AS_OF - timedelta(days=90),)]
