@@ -1,11 +1,11 @@
 """DataFrame operators the plans are composed of."""
 
 from depotlake.operators.completeness import expected_files, file_completeness
-from depotlake.operators.grid_join import grid_join
+from depotlake.operators.grid import grid_join
 from depotlake.operators.latest import latest_by
 from depotlake.operators.quality import add_audit, split_rejects
-from depotlake.operators.reconcile import layer_counts, reconcile
-from depotlake.operators.upsert import upsert
+from depotlake.operators.balance import layer_counts, reconcile
+from depotlake.operators.merge import upsert
 
 __all__ = [
     "add_audit",

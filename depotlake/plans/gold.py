@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.functions.shipments import ACTIVE_STATUSES, DEFAULT_DELAY_REASON, DELAYED
-from depotlake.operators.grid_join import CELL_ROWS, grid_join
+from depotlake.operators.grid import CELL_ROWS, grid_join
 from depotlake.operators.latest import latest_by
-from depotlake.operators.upsert import upsert
+from depotlake.operators.merge import upsert
 from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE
 
 # Fixed values of the gold tables.

@@ -7,8 +7,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotlake.operators.reconcile import layer_counts
+from depotlake.operators.balance import layer_counts
 from depotlake.schemas import GOLD, Table
+from depotlake.sources.files import delete_paths
 
 # Fixed value: the content of the marker that follows a complete export.
 ACKNOWLEDGED = "acknowledged"
@@ -58,10 +59,12 @@ def publish(
 ) -> DataFrame:
     """Export every table as CSV and Parquet, then write the acknowledgement.
 
-    The marker is written only after both copies of each table read back with the table's
-    row count. Returns the counts: ``layer, row_count``.
+    A marker of an earlier run is removed first, and the new one is written only after both
+    copies of each table read back with the table's row count. Returns the counts:
+    ``layer, row_count``.
     """
     tables = list(tables)
+    delete_paths(spark, [f"{out}/_success"])
     frames = {}
     for table in tables:
         df = spark.table(f"{db}.{table.name}").select(*table.schema.fieldNames())
