@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +15,13 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
     """Split into accepted rows and rejected rows with the first failing rule as reason.
 
     Each rule maps a reason to the condition that rejects a row; a null condition passes.
+    The accepted side is a plain conjunction, so null rules become filters of the scan.
     """
-    reason = F.coalesce(*(F.when(bad, reason) for reason, bad in rules.items()))
-    rejected = df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
-    return df.filter(reason.isNull()), rejected
+    bad = {reason: F.coalesce(condition, F.lit(False)) for reason, condition in rules.items()}
+    accepted = df.filter(reduce(and_, (~condition for condition in bad.values())))
+    reason = F.coalesce(*(F.when(condition, reason) for reason, condition in bad.items()))
+    rejected = df.filter(reduce(or_, bad.values())).withColumn("reject_reason", reason)
+    return accepted, rejected
 
 
 def run_time(run_ts: datetime | Column | None) -> Column:

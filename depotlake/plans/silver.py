@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ UNPARSED_DATE = "unparsed date"
 
 
 def _blank(df: DataFrame) -> Column:
-    return F.coalesce(*(F.col(c).cast("string") for c in df.columns)).isNull()
+    return reduce(and_, (F.col(c).isNull() for c in df.columns))
 
 
 def _missing(columns: Sequence[str]) -> dict[str, Column]:

@@ -4,6 +4,7 @@ from depotlake.sources.events import EVENT_COLUMNS, parse_events, read_event_fil
 from depotlake.sources.files import (
     delete_paths,
     list_files,
+    make_folder,
     path_exists,
     read_csv_by_name,
     read_csv_text,
@@ -15,6 +16,7 @@ __all__ = [
     "EVENT_COLUMNS",
     "delete_paths",
     "list_files",
+    "make_folder",
     "parse_events",
     "path_exists",
     "read_csv_by_name",

@@ -87,6 +87,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _hadoop_path(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         fs, hadoop_path = _hadoop_path(spark, path)

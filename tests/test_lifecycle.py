@@ -7,6 +7,7 @@ from depotlake.config import Layout, dated_name, dated_path, scratch_dir
 from depotlake.plans import lifecycle, run
 from depotlake.schemas import GOLD
 from depotlake.sources import list_files, path_exists, read_csv_text, read_file_mapping
+from depotlake.streaming import stream_report
 from tests.conftest import AS_OF, RUN_TS
 from tests.helpers import column, rows
 
@@ -229,3 +230,20 @@ def test_run_streams_with_a_deduplicating_query(spark, tmp_path, dedup):
     queries = run.run_streams(spark, layout, RUN_TS, dedup=dedup)
     assert [q.isActive for q in queries] == [False, False]
     assert spark.read.parquet(layout.silver_shipments).count() == 1
+
+
+def test_run_streams_until_stopped(spark, tmp_path):
+    layout = Layout(f"{tmp_path}/lake")
+    queries = run.run_streams(spark, layout, RUN_TS, available_now=False)
+    try:
+        report = {r.name: r for r in stream_report(spark).collect()}
+        assert set(report) == {"bronze_shipments", "silver_shipments"}
+        assert all(r.is_active for r in report.values())
+        fill(tmp_path / "lake", AS_OF, [], [], [event("SH1", "WH1", "Delayed", "2025-08-30T01:00:00Z")])
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    state = run.silver_shipments_at_rest(spark, layout)
+    assert rows(state.select("shipment_id", "status", "is_delayed")) == [("SH1", "Delayed", True)]
