@@ -299,6 +299,15 @@ def oracle_sql() -> dict[str, str]:
                 FROM events)
             SELECT file_name, file_name IN (SELECT file_name FROM days WHERE event_type = 'purchase') AS is_present
             FROM (SELECT DISTINCT file_name FROM days)""",
+        "file_completeness_counts": """
+            WITH days AS (
+                SELECT CAST(ts AS DATE) AS day, user_id,
+                       sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) > 0 AS is_present
+                FROM events GROUP BY CAST(ts AS DATE), user_id)
+            SELECT day, count(*) AS expected_files,
+                   CAST(sum(CASE WHEN is_present THEN 1 ELSE 0 END) AS BIGINT) AS present_files,
+                   count(*) = sum(CASE WHEN is_present THEN 1 ELSE 0 END) AS is_complete
+            FROM days GROUP BY day""",
         "ingest_roundtrip": using(
             ("sales_raw",),
             """SELECT order_id, product_id, CAST(quantity_sold AS VARCHAR) AS quantity_sold,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from depotlake import adapters, schemas
 from depotlake.config import apply_settings, scratch_dir
-from depotlake.operators import expected_files, file_completeness, reconcile, upsert
+from depotlake.operators import completeness_counts, expected_files, file_completeness, reconcile, upsert
 from depotlake.plans import gold, lifecycle, silver
 from depotlake.sinks import (
     apply_retention,
@@ -311,7 +311,7 @@ def stream_latest_state(spark, sf):
 # --- files -------------------------------------------------------------------------------
 
 
-def file_completeness_by_day(spark, sf):
+def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """A file is expected from each warehouse for each day, and found where it sold something."""
     events = adapters.load(spark, sf, "events").select(
         F.concat(F.lit("wh"), F.col("user_id") + 1, F.lit("_")).alias("filenamePrefix"),
@@ -320,7 +320,15 @@ def file_completeness_by_day(spark, sf):
     )
     expected = expected_files(events.select("filenamePrefix", "day").distinct(), F.col("day"))
     found = expected_files(events.filter(F.col("event_type") == "purchase"), F.col("day"))
-    return file_completeness(expected, found).select("file_name", "is_present")
+    return file_completeness(expected, found)
+
+
+def file_completeness_by_name(spark, sf):
+    return _arrivals(spark, sf).select("file_name", "is_present")
+
+
+def file_completeness_counts(spark, sf):
+    return completeness_counts(_arrivals(spark, sf), ["day"])
 
 
 def ingest_roundtrip(spark, sf):
@@ -416,7 +424,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_within_watermark": stream_dedup_within_watermark,
     "stream_latest_state": stream_latest_state,
     "stream_report": stream_report_bronze,
-    "file_completeness": file_completeness_by_day,
+    "file_completeness": file_completeness_by_name,
+    "file_completeness_counts": file_completeness_counts,
     "ingest_roundtrip": ingest_roundtrip,
     "archive_events": archive_events,
     "export_roundtrip_csv": export_roundtrip_csv,

@@ -1,6 +1,6 @@
 """DataFrame operators the plans are composed of."""
 
-from depotlake.operators.completeness import expected_files, file_completeness
+from depotlake.operators.completeness import completeness_counts, expected_files, file_completeness
 from depotlake.operators.grid import grid_join
 from depotlake.operators.latest import latest_by
 from depotlake.operators.quality import add_audit, split_rejects
@@ -9,6 +9,7 @@ from depotlake.operators.merge import upsert
 
 __all__ = [
     "add_audit",
+    "completeness_counts",
     "expected_files",
     "file_completeness",
     "grid_join",

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions.shipments import ACTIVE_STATUSES, DEFAULT_DELAY_REASON, DELAYED
+from depotlake.functions.shipments import ACTIVE_STATUSES, DEFAULT_DELAY_REASON, DELAYED, is_recent
 from depotlake.operators.grid import CELL_ROWS, grid_join
 from depotlake.operators.latest import latest_by
 from depotlake.operators.merge import upsert
+from depotlake.operators.quality import run_time
 from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE
 
 # Fixed values of the gold tables.
@@ -91,13 +92,18 @@ def fact_sales_daily(sales: DataFrame) -> DataFrame:
     )
 
 
-def fact_shipments(shipments: DataFrame, as_of: date, keep_days: int = KEEP_DAYS) -> DataFrame:
+def fact_shipments(
+    shipments: DataFrame, as_of: date, keep_days: int = KEEP_DAYS, recent_at: datetime | None = None
+) -> DataFrame:
     """The last ingested state of each shipment, if it is recent enough.
 
     The age is checked after the choice: a shipment whose last state is too old is left out,
-    an older state must not take its place.
+    an older state must not take its place. ``is_recent`` is the flag silver stored when it
+    saw the event, unless ``recent_at`` asks for it at another time.
     """
     latest = latest_by(shipments, ["shipment_id"], ["ingestion_time"])
+    if recent_at is not None:
+        latest = latest.withColumn("is_recent", is_recent(F.col("timestamp"), run_time(recent_at)))
     return latest.filter(
         F.col("timestamp") >= F.date_sub(F.lit(as_of), keep_days).cast("timestamp")
     ).select(

@@ -45,8 +45,8 @@ def export(df: DataFrame, path: str, fmt: str, files: int | None = None) -> None
 def read_export(spark: SparkSession, path: str, fmt: str, table: Table) -> DataFrame:
     reader = spark.read.schema(table.schema)
     if fmt == "csv":
-        # Any value that does not fit its column fails the read.
-        return reader.options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+        # Text may hold line breaks, and a value that does not fit its column fails the read.
+        return reader.options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST").csv(path)
     return reader.parquet(path)
 
 

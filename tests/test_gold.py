@@ -124,6 +124,13 @@ def test_fact_shipments_checks_the_age_after_the_choice(spark):
     assert rows(facts.select("shipment_id", "event_date")) == [("S1", date(2025, 6, 2))]
 
 
+def test_fact_shipments_recency_is_stored_or_asked_for(spark):
+    now = datetime(2025, 8, 31, 6)
+    stored = shipments(spark, ("S1", "WH1", "Delayed", now - timedelta(days=5), now))
+    assert rows(gold.fact_shipments(stored, AS_OF).select("is_recent")) == [(True,)]
+    assert rows(gold.fact_shipments(stored, AS_OF, recent_at=now).select("is_recent")) == [(False,)]
+
+
 def test_snapshot_and_alerts(spark):
     stock = spark.createDataFrame(
         [("WH1", "P1", "Lamp", 10, OLD), ("WH1", "P2", "Desk", 99, OLD), ("WH2", "P1", "Lamp", 5, OLD), ("WH1", "P8", "No dim", 1, OLD)],

@@ -181,7 +181,7 @@ def test_retention_drops_whole_partitions(spark, db):
     assert rows(stored.select("sale_date")) == sorted((d,) for d in days[:2])
 
 
-SHIPMENT = ("S1", "WH1", "Delayed", datetime(2025, 8, 31, 1, 2, 3, 456789), D3, 'New "Delhi", x', " pad ", True, None, 1.5, None, "f")
+SHIPMENT = ("S1", "WH1", "Delayed", datetime(2025, 8, 31, 1, 2, 3, 456789), D3, 'New "Delhi", x', " two\nlines ", True, None, 1.5, None, "f")
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
