@@ -77,12 +77,16 @@ class Layout:
 
     root: str
 
+    @property
+    def bronze_batch_root(self) -> str:
+        return f"{self.root}/bronze/batch"
+
     def bronze_batch(self, folder: str) -> str:
-        return f"{self.root}/bronze/batch/{folder}"
+        return f"{self.bronze_batch_root}/{folder}"
 
     @property
     def file_mapping(self) -> str:
-        return f"{self.root}/bronze/batch/filemapping/fileMapping.json"
+        return f"{self.bronze_batch_root}/filemapping/fileMapping.json"
 
     @property
     def landing_batch(self) -> str:

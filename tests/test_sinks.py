@@ -25,7 +25,7 @@ from depotlake.sinks import (
     replace_table,
     upsert_table,
 )
-from depotlake.sources import path_exists, read_table
+from depotlake.sources import delete_paths, path_exists, read_table
 from tests.helpers import plan, rows
 
 D1, D2, D3 = date(2025, 8, 29), date(2025, 8, 30), date(2025, 8, 31)
@@ -71,9 +71,11 @@ def test_replace_partition_keeps_the_other_days_and_reruns(spark, db):
     table = FACT_INVENTORY_DAILY
     ensure_tables(spark, db, [table])
     replace_partition(inventory_day(spark, D1, 1, 2), db, table, D1)
-    replace_partition(inventory_day(spark, D2, 3), db, table, D2)
+    assert replace_partition(inventory_day(spark, D2, 3), db, table, D2) is None
     for _ in range(2):
-        replace_partition(inventory_day(spark, D2, 4, 5), db, table, D2)
+        former = replace_partition(inventory_day(spark, D2, 4, 5), db, table, D2)
+        assert path_exists(spark, former)
+        delete_paths(spark, [former])
     stored = spark.table(f"{db}.{table.name}")
     assert rows(stored.select("snapshot_date", "quantity_in_stock")) == [(D1, 1), (D1, 2), (D2, 4), (D2, 5)]
     assert rows(stored.filter(F.col("snapshot_date") == D1).select("stock_status")) == [("OK",), ("OK",)]
@@ -110,7 +112,7 @@ def test_replace_table_from_itself(spark, db):
     ensure_tables(spark, db, [table])
     replace_table(spark.createDataFrame([("P1", "a", D1, "s")], table.schema), db, table)
     grown = spark.table(f"{db}.{table.name}").withColumn("product_name", F.lit("b"))
-    replace_table(grown, db, table)
+    delete_paths(spark, [replace_table(grown, db, table)])
     assert rows(spark.table(f"{db}.{table.name}")) == [("P1", "b", D1, "s")]
 
 
@@ -170,6 +172,15 @@ def test_upsert_table_needs_the_partition_in_the_key(spark, db):
         upsert_table(sales_rows(spark, ("WH1", "P1", D1, 5)), db, table)
 
 
+def test_retention_removes_the_files_of_replaced_partitions(spark, db, tmp_path):
+    table = FACT_INVENTORY_DAILY
+    ensure_tables(spark, db, [table])
+    replace_partition(inventory_day(spark, D1, 1), db, table, D1)
+    replace_partition(inventory_day(spark, D3, 1), db, table, D3)
+    apply_retention(spark, db, table, D3, keep_days=1)
+    assert [p.name.split("-")[1] for p in (tmp_path / "db").glob("fact_inventory_daily-*")] == ["20250831"]
+
+
 def test_retention_drops_whole_partitions(spark, db):
     table = FACT_SALES_DAILY
     ensure_tables(spark, db, [table])
@@ -255,3 +266,22 @@ def test_serving_refuses_overlong_text_and_keeps_the_table(spark, db, tmp_path):
         load_serving(spark, out, db, DIM_PRODUCT)
     assert rows(spark.table(f"{db}.dim_product")) == [("P1", "a", D1, "s")]
     assert spark.sql(f"SHOW TABLES IN {db}").filter("not isTemporary").count() == 1
+
+
+def test_only_the_days_at_hand_are_read(spark, db):
+    """The merge and the snapshot prune partitions and columns of the stored tables."""
+    from depotlake.sinks.tables import _touched_partitions
+
+    ensure_tables(spark, db)
+    replace_partitions(sales_rows(spark, *[("WH1", "P1", d, 1) for d in (D1, D2, D3)]), db, FACT_SALES_DAILY)
+    target = _touched_partitions(spark.table(f"{db}.fact_sales_daily"), sales_rows(spark, ("WH1", "P1", D2, 1)), "sale_date")
+    assert f"(sale_date#" in plan(target) and "PartitionFilters: [isnotnull(sale_date" in plan(target)
+    assert len(target.inputFiles()) >= 1 and rows(target.select("sale_date")) == [(D2,)]
+    snapshot = gold.supplychain_snapshot(
+        spark.table(f"{db}.fact_inventory_daily"), spark.table(f"{db}.dim_product"), spark.table(f"{db}.fact_shipments"), D3
+    )
+    text = plan(snapshot)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in text
+    assert "ReadSchema: struct<warehouse_id:string,product_id:string,quantity_in_stock:int,stock_status:string>" in text
+    assert "ReadSchema: struct<product_id:string,product_name:string>" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
