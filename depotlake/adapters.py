@@ -67,8 +67,12 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table_stream(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
-def shipments_of(events: DataFrame) -> DataFrame:
-    """Four events per shipment; the user is the warehouse, one user in 37 has a bad id."""
+def shipments_of(events: DataFrame, warehouses: int | None = None) -> DataFrame:
+    """Four events per shipment; the user is the warehouse, one user in 37 has a bad id.
+
+    ``warehouses`` folds the users into that many warehouses.
+    """
+    number = F.col("user_id") if warehouses is None else F.col("user_id") % warehouses
     event_id = F.col("event_id")
     status = (
         F.when(F.col("event_type") == "view", " In Transit ")
@@ -88,7 +92,7 @@ def shipments_of(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit(" sh"), event_id - event_id % 4).alias("shipment_id"),
         F.when(F.col("user_id") % 37 == 0, "X9")
-        .otherwise(F.concat(F.lit("wh"), F.col("user_id") + 1))
+        .otherwise(F.concat(F.lit("wh"), number + 1))
         .alias("warehouse_id"),
         status.alias("status"),
         location.alias("location"),

@@ -286,7 +286,9 @@ def stream_report_bronze(spark, sf):
 
 
 def _deduplicated(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    rows = silver_shipments_stream(bronze_of(adapters.shipments_of(adapters.events_stream(spark, sf))), mode)
+    # Five warehouses, as the silver folder is partitioned by them.
+    events = bronze_of(adapters.shipments_of(adapters.events_stream(spark, sf), warehouses=5))
+    rows = silver_shipments_stream(events, mode)
     out = scratch_dir(spark, f"silver-{mode}")
     _finished(run_stream(rows, out, scratch_dir(spark, "checkpoint"), partition_by=["warehouse_id"]))
     return spark.read.schema(schemas.SILVER_SHIPMENTS).parquet(out)
