@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from depotlake import adapters, schemas
 from depotlake.config import apply_settings, scratch_dir
-from depotlake.operators import completeness_counts, expected_files, file_completeness, reconcile, upsert
+from depotlake.operators import (
+    completeness_counts,
+    expected_files,
+    file_completeness,
+    is_rejected,
+    reconcile,
+    upsert,
+)
 from depotlake.plans import gold, lifecycle, silver
 from depotlake.sinks import (
     apply_retention,
@@ -379,21 +386,24 @@ def serving_load(spark, sf):
 
 
 def reconcile_layers(spark, sf):
-    raw_inventory = adapters.inventory_raw(spark, sf)
-    kept, rejected = silver.split_inventory(raw_inventory)
-    stock = reconcile(
+    stock, lines = adapters.inventory_raw(spark, sf), adapters.sales_raw(spark, sf)
+    kept_stock, _ = silver.split_inventory(stock)
+    kept_lines, _ = silver.split_sales(lines)
+    return reconcile(
         "inventory",
-        raw_inventory,
-        rejected,
-        silver.clean_inventory(kept),
+        stock,
+        is_rejected(silver.inventory_rules(stock)),
+        silver.clean_inventory(kept_stock),
         inventory(spark, sf),
         silver.INVENTORY_KEYS,
-    )
-    raw_sales = adapters.sales_raw(spark, sf)
-    kept, rejected = silver.split_sales(raw_sales)
-    return stock.unionByName(
+    ).unionByName(
         reconcile(
-            "sales", raw_sales, rejected, silver.clean_sales(kept), sales(spark, sf), silver.SALES_KEYS
+            "sales",
+            lines,
+            is_rejected(silver.sales_rules(lines)),
+            silver.clean_sales(kept_lines),
+            sales(spark, sf),
+            silver.SALES_KEYS,
         )
     )
 

@@ -3,7 +3,7 @@
 from depotlake.operators.completeness import completeness_counts, expected_files, file_completeness
 from depotlake.operators.grid import grid_join
 from depotlake.operators.latest import latest_by
-from depotlake.operators.quality import add_audit, split_rejects
+from depotlake.operators.quality import add_audit, is_rejected, split_rejects
 from depotlake.operators.balance import layer_counts, reconcile
 from depotlake.operators.merge import upsert
 
@@ -13,6 +13,7 @@ __all__ = [
     "expected_files",
     "file_completeness",
     "grid_join",
+    "is_rejected",
     "latest_by",
     "layer_counts",
     "reconcile",

@@ -5,23 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def is_rejected(rules: Mapping[str, Column]) -> Column:
+    """True where any rule rejects the row; a rule maps a reason to the rejecting condition."""
+    return reduce(or_, (F.coalesce(condition, F.lit(False)) for condition in rules.values()))
+
+
 def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Split into accepted rows and rejected rows with the first failing rule as reason.
 
-    Each rule maps a reason to the condition that rejects a row; a null condition passes.
-    The accepted side is a plain conjunction, so null rules become filters of the scan.
+    A null condition passes. The accepted side becomes a plain conjunction, so null rules
+    are filters of the scan.
     """
-    bad = {reason: F.coalesce(condition, F.lit(False)) for reason, condition in rules.items()}
-    accepted = df.filter(reduce(and_, (~condition for condition in bad.values())))
-    reason = F.coalesce(*(F.when(condition, reason) for reason, condition in bad.items()))
-    rejected = df.filter(reduce(or_, bad.values())).withColumn("reject_reason", reason)
-    return accepted, rejected
+    rejected = is_rejected(rules)
+    reason = F.coalesce(*(F.when(condition, reason) for reason, condition in rules.items()))
+    return df.filter(~rejected), df.filter(rejected).withColumn("reject_reason", reason)
 
 
 def run_time(run_ts: datetime | Column | None) -> Column:

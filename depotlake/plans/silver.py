@@ -60,9 +60,13 @@ def _quantity(name: str) -> Column:
 # --- inventory ---------------------------------------------------------------------------
 
 
+def inventory_rules(df: DataFrame) -> dict[str, Column]:
+    return {BLANK_LINE: _blank(df), **_missing(("product_id", "product_name"))}
+
+
 def split_inventory(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that name a product, and the others with the reason."""
-    return split_rejects(df, {BLANK_LINE: _blank(df), **_missing(("product_id", "product_name"))})
+    return split_rejects(df, inventory_rules(df))
 
 
 def clean_inventory(accepted: DataFrame) -> DataFrame:
@@ -87,9 +91,13 @@ def silver_inventory(
 # --- sales -------------------------------------------------------------------------------
 
 
+def sales_rules(df: DataFrame) -> dict[str, Column]:
+    return {BLANK_LINE: _blank(df), **_missing(SALES_KEYS)}
+
+
 def split_sales(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a complete order-line key, and the others with the reason."""
-    return split_rejects(df, {BLANK_LINE: _blank(df), **_missing(SALES_KEYS)})
+    return split_rejects(df, sales_rules(df))
 
 
 def clean_sales(accepted: DataFrame) -> DataFrame:
@@ -120,26 +128,22 @@ def quarantine(inventory: DataFrame, sales: DataFrame) -> DataFrame:
     ``dropped`` tells rows that did not reach silver from rows that did with a null date.
     """
 
-    def findings(entity: str, rejected: DataFrame, kept: DataFrame, order_id: Column, date: str) -> DataFrame:
-        undated = kept.filter(_unparsed_date(kept, date)).withColumn("reject_reason", F.lit(UNPARSED_DATE))
-        both = rejected.withColumn("dropped", F.lit(True)).unionByName(
-            undated.withColumn("dropped", F.lit(False))
-        )
-        return both.select(
+    def findings(entity: str, raw: DataFrame, rules: dict[str, Column], date: str) -> DataFrame:
+        _, found = split_rejects(raw, {**rules, UNPARSED_DATE: _unparsed_date(raw, date)})
+        order_id = F.col("order_id") if "order_id" in raw.columns else F.lit(None).cast("string")
+        return found.select(
             F.lit(entity).alias("entity"),
             order_id.alias("order_id"),
             "product_id",
             "warehouse_id",
             F.col(date).cast("string").alias("raw_date"),
             "reject_reason",
-            "dropped",
+            (F.col("reject_reason") != UNPARSED_DATE).alias("dropped"),
         )
 
-    kept_inventory, rejected_inventory = split_inventory(inventory)
-    kept_sales, rejected_sales = split_sales(sales)
-    return findings(
-        "inventory", rejected_inventory, kept_inventory, F.lit(None).cast("string"), "last_restock_date"
-    ).unionByName(findings("sales", rejected_sales, kept_sales, F.col("order_id"), "sale_date"))
+    return findings("inventory", inventory, inventory_rules(inventory), "last_restock_date").unionByName(
+        findings("sales", sales, sales_rules(sales), "sale_date")
+    )
 
 
 # --- shipments: the same functions serve the batch and the stream ------------------------
