@@ -20,11 +20,12 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
     """Split into accepted rows and rejected rows with the first failing rule as reason.
 
     A null condition passes. The accepted side becomes a plain conjunction, so null rules
-    are filters of the scan.
+    are filters of the scan. The other side asks for a reason instead of a disjunction,
+    which Spark would expand and evaluate several times below a join.
     """
-    rejected = is_rejected(rules)
     reason = F.coalesce(*(F.when(condition, reason) for reason, condition in rules.items()))
-    return df.filter(~rejected), df.filter(rejected).withColumn("reject_reason", reason)
+    rejected = df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+    return df.filter(~is_rejected(rules)), rejected
 
 
 def run_time(run_ts: datetime | Column | None) -> Column:
