@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from depotlake.plans import silver
 from depotlake.schemas import BRONZE_SHIPMENTS, SILVER_SHIPMENTS
-from depotlake.sources import parse_events, read_event_files, read_table_stream
+from depotlake.sources import read_event_files, read_table_stream
 from depotlake.streaming import (
     bronze_shipments,
     compact_latest_state,
