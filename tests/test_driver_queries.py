@@ -11,7 +11,7 @@ duckdb = pytest.importorskip("duckdb")
 TABLES = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="the driver's tables are not here")
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = contract.driver_queries.queries(), contract.driver_oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
