@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
 
@@ -56,12 +57,19 @@ def raw_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bounds, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def as_rows(df: DataFrame) -> DataFrame:
+    """All columns as one struct, so that no name clashes with what an operator adds."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str | Callable[[pa.RecordBatch], pa.Array]
+) -> Iterator[pa.RecordBatch]:
     """The batches cut to about ``SLICE_BYTES`` of text each."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        bounds, _ = raw_texts(batch.column(text))
+        bounds, _ = raw_texts(text(batch) if callable(text) else batch.column(text))
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(bounds, bounds[start] + SLICE_BYTES, side="left"))
