@@ -93,3 +93,34 @@ def binary_column(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(data))]
     ).cast(pa.binary())
+
+
+def words_of(
+    column: pa.Array, fold: np.ndarray
+) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts (with the separators after them), first bytes, ends and the texts' bounds.
+
+    ``fold`` maps every byte; what it maps to a space separates words.
+    """
+    bounds, raw = raw_texts(column)
+    data = fold[raw]
+    inside = data != 32
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    firsts = bounds[:-1][bounds[:-1] < bounds[1:]]
+    start[firsts] = inside[firsts]
+    starts = np.flatnonzero(start[: bounds[-1]])
+    starts = starts[np.searchsorted(starts, bounds[0]) :]
+    # Where a word ends: at a separator or where its text ends.
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:]
+    stop[firsts[firsts > 0] - 1] |= inside[firsts[firsts > 0] - 1]
+    if bounds[-1] > bounds[0]:
+        stop[bounds[-1] - 1] |= inside[bounds[-1] - 1]
+    ends = np.flatnonzero(stop[: bounds[-1]])
+    ends = ends[np.searchsorted(ends, bounds[0]) :] + 1
+    edges = np.append(starts, bounds[-1]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
+    ).dictionary_encode()
+    return words, starts, ends, np.searchsorted(starts, bounds)

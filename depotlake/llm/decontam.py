@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotlake.llm.common import as_rows, map_arrow, ragged_take, raw_texts, slices, staged
+from depotlake.llm.common import as_rows, map_arrow, ragged_take, raw_texts, slices, staged, words_of
 
 WINDOW = 13
 MAX_BYTES = 32 << 20
@@ -45,32 +45,6 @@ HIT = T.StructType(
 )
 
 
-def words_of(column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts (with the separators after them), first bytes, lengths and texts' bounds."""
-    bounds, raw = raw_texts(column)
-    data = _FOLD[raw]
-    inside = data != 32
-    start = inside.copy()
-    start[1:] &= ~inside[:-1]
-    firsts = bounds[:-1][bounds[:-1] < bounds[1:]]
-    start[firsts] = inside[firsts]
-    starts = np.flatnonzero(start[: bounds[-1]])
-    starts = starts[np.searchsorted(starts, bounds[0]) :]
-    # Where a word ends: at a separator or where its text ends.
-    stop = inside.copy()
-    stop[:-1] &= ~inside[1:]
-    stop[firsts[firsts > 0] - 1] |= inside[firsts[firsts > 0] - 1]
-    if bounds[-1] > bounds[0]:
-        stop[bounds[-1] - 1] |= inside[bounds[-1] - 1]
-    ends = np.flatnonzero(stop[: bounds[-1]])
-    ends = ends[np.searchsorted(ends, bounds[0]) :] + 1
-    edges = np.append(starts, bounds[-1]).astype(np.int64)
-    words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
-    ).dictionary_encode()
-    return words, starts, ends, np.searchsorted(starts, bounds)
-
-
 @dataclass
 class Windows:
     """Windows of one length: their hashes in order, their word numbers, and the items of each."""
@@ -94,7 +68,7 @@ def _hash(numbers: np.ndarray, at: np.ndarray, length: int, factor: np.uint64) -
 
 def index_items(texts: list[str | None], window: int) -> tuple[dict[bytes, int], list[Windows]]:
     """The vocabulary and the windows of a block of items."""
-    words, _, _, bounds = words_of(pa.array(texts, pa.string()))
+    words, _, _, bounds = words_of(pa.array(texts, pa.string()), _FOLD)
     distinct = [w.rstrip(b" ") for w in words.dictionary.to_pylist()]
     vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(distinct))}
     flat = np.array([vocabulary[w] for w in distinct], np.int64)[words.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
@@ -122,7 +96,7 @@ def index_items(texts: list[str | None], window: int) -> tuple[dict[bytes, int],
 
 def _scan(column: pa.Array, vocabulary: dict[bytes, int], windows: list[Windows]):
     """Number of words per text; hit flags of all words; (text, item) pairs; words' bytes and bounds."""
-    words, starts, ends, bounds = words_of(column)
+    words, starts, ends, bounds = words_of(column, _FOLD)
     known = [vocabulary.get(w.rstrip(b" "), 0) for w in words.dictionary.to_pylist()]
     numbers = np.array(known, np.int64)[words.indices.to_numpy()] if known else np.zeros(0, np.int64)
     texts = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

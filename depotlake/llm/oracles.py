@@ -1,6 +1,7 @@
 """The same results as ``queries`` in DuckDB SQL, where SQL can express them."""
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED_WORDS = rf"regexp_extract_all({_FOLD}, '[^\x20\x09-\x0D]+')"
 _BENCH_WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP7 = f"""
@@ -29,6 +30,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
+OP4 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM shingles AS a JOIN shingles AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * n_both >= 90 * (x.n + y.n - n_both)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM edges UNION SELECT doc_id, b FROM reach JOIN edges ON other = a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, smallest), doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS smallest FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
 
 def _guarded(column: str) -> str:
     out = f"replace({column}, '\\', '\\\\')"
@@ -62,6 +82,7 @@ FROM c JOIN states USING (conv_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op4_prefix_join": OP4,
     "op7_decontamination": OP7,
     "op9_chat_format": OP9,
 }

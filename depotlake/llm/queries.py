@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
-from depotlake.llm import chat, decontam, grammar, packing, quality, reshard
+from depotlake.llm import chat, decontam, grammar, jaccard, packing, quality, reshard
 from depotlake.llm.common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(documents, jaccard.Rule(size=3, percent=90))
+
+
 def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = staged(quality.measure(table(spark, sf_dir, "documents")), "quality")
     return quality.judge(measured, table(spark, sf_dir, "labels")).select(
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_grammar_tokens": op2_grammar_tokens,
     "op3_flow_resharding": op3_flow_resharding,
+    "op4_prefix_join": op4_prefix_join,
     "op5_risk_controlled_rules": op5_risk_controlled_rules,
     "op7_decontamination": op7_decontamination,
     "op9_chat_format": op9_chat_format,
