@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
-from depotlake.llm import chat, decontam, grammar, jaccard, packing, quality, reshard
+from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, secrets
 from depotlake.llm.common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,20 @@ def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.scan(documents, licences.fit(documents), carry=["doc_id"])
+    sure = F.filter("findings", lambda f: f["confirmed"])
+    return found.select(
+        "row.doc_id",
+        "n_paragraphs",
+        F.size("findings").cast("long").alias("n_predicted"),
+        F.size(sure).cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda f: f["family"]))), ",").alias("families"),
+        F.array_join(F.transform(sure, lambda f: f["paragraph"].cast("string")), ",").alias("paragraphs"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = decontam.scan(documents, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
@@ -85,6 +99,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secrets.train(secrets.example_findings(spark))
+    scanned = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), forest)
+    return scanned.select(
+        "row.doc_id",
+        F.size("found").cast("long").alias("n_candidates"),
+        F.size("secrets").cast("long").alias("n_secrets"),
+        F.sha2(F.array_join(F.transform("secrets", lambda s: s["token"]), "\n"), 256).alias("secrets_sha256"),
+        F.crc32(F.coalesce("redacted", F.lit("")).cast("binary")).alias("redacted_crc32"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -105,12 +131,41 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _identified(found: DataFrame, key: str) -> DataFrame:
+    return found.select(
+        f"row.{key}",
+        "language",
+        F.round("posterior", 6).alias("posterior"),
+        "text_language",
+        (F.col("language") != langid.UNDETERMINED).alias("kept"),
+    )
+
+
+def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source is its host, its lang column what its markup declares."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return _identified(langid.identify(documents, F.col("lang"), host=F.col("source"), carry=["doc_id"]), "doc_id")
+
+
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator where all evidence is at hand: the page's lang attribute and its address."""
+    plain = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
+    declared = F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", plain.alias("text"), declared.alias("declared"))
+    where = langid.address(F.col("url"))
+    return _identified(langid.identify(pages, F.col("declared"), **where, carry=["page_id"]), "page_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_grammar_tokens": op2_grammar_tokens,
     "op3_flow_resharding": op3_flow_resharding,
     "op4_prefix_join": op4_prefix_join,
     "op5_risk_controlled_rules": op5_risk_controlled_rules,
+    "op6_licence_paragraphs": op6_licence_paragraphs,
     "op7_decontamination": op7_decontamination,
+    "op8_secret_forest": op8_secret_forest,
     "op9_chat_format": op9_chat_format,
+    "op10_language_evidence": op10_language_evidence,
+    "pages_language": pages_language,
 }
