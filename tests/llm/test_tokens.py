@@ -1,0 +1,117 @@
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from depotlake.llm import grammar, packing, tokens
+
+BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+ALPHABET = "ab cZ.,;'s<|>endoftext\n\t\r\x0b\x1c é  　中Σİ́9#"
+
+
+def pieces_by_library(texts, path):
+    return [tokens.tokenizer(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(ALPHABET), max_size=40), max_size=6))
+def test_ids_are_those_of_the_whole_text(path, texts):
+    ids, bounds = tokens.encode(pa.array(texts, pa.string()), path)
+    found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == pieces_by_library(texts, path)
+
+
+def test_special_tokens_nulls_and_sliced_columns():
+    texts = ["skip", None, "", "a <|endoftext|> b<|endoftext|>", "x " * 3000]
+    ids, bounds = tokens.encode(pa.array(texts, pa.string()).slice(1), BYTE)
+    found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == pieces_by_library([t or "" for t in texts[1:]], BYTE)
+    assert 50256 in found[2]
+
+
+def test_the_memory_for_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 3)
+    known = tokens._Pieces(BYTE)
+    for texts in ([b" a", b" b"], [b" c", b" d", b" a"], [b" d", b" e"]):
+        ids, starts, counts = known.lookup(texts)
+        found = [ids[s : s + n].tolist() for s, n in zip(starts, counts, strict=True)]
+        assert found == pieces_by_library([t.decode() for t in texts], BYTE)
+    assert len(known.place) == 3
+
+
+def test_packing_holds_every_id_once_without_padding(spark, corners, corner_rows):
+    rows = packing.pack(corners, BYTE, length=64).collect()
+    sequences, texts = {}, {}
+    for r in rows:
+        assert r.length == len(packing.unpack_ids(r.ids)) > 0
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        texts.setdefault(r.doc_id, []).append((r.start, packing.unpack_ids(r.ids).tolist(), r.doc_tokens))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at == 64 or at & (at - 1) == 0
+    want = {}
+    for doc_id, text, *_ in corner_rows:
+        want.setdefault(doc_id, []).extend(pieces_by_library([text or ""], BYTE)[0] + [0])
+    for doc_id, expected in want.items():
+        if doc_id == 4:  # a repeated row: every piece twice
+            assert sorted(i for _, ids, _ in texts[doc_id] for i in ids) == sorted(expected)
+        else:
+            assert [i for _, ids, _ in sorted(texts[doc_id]) for i in ids] == expected
+            assert {n for _, _, n in texts[doc_id]} == {len(expected)}
+
+
+def test_packing_of_nothing_and_of_clashing_columns(nothing, clashing, corners):
+    assert packing.pack(nothing, BYTE).count() == 0
+    total = lambda df: sum(r.length for r in packing.pack(df, BYTE).collect())
+    assert total(clashing) == total(corners)
+
+
+def test_neighbours_on_the_curve_are_one_cell_apart():
+    cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
+    keys = packing.hilbert_key(cells, 3)
+    assert sorted(keys.tolist()) == list(range(512))
+    along = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(along, axis=0)).sum(axis=1) == 1).all()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), max_size=60), max_size=8))
+def test_grammar_round_trip(documents):
+    ids = np.array([i for d in documents for i in [*d, 2]], np.uint32)
+    rules, sizes, symbols = grammar.compress(ids, 10, 2)
+    assert grammar.expand(symbols, rules, sizes, 10).tolist() == ids.tolist()
+    assert [len(grammar.expand(np.array([10 + k]), rules, sizes, 10)) for k in range(len(rules))] == sizes.tolist()
+
+
+def test_grammar_compresses_repeats_and_decodes_ranges():
+    ids = np.array(([*range(3, 40), 2]) * 200, np.uint32)
+    rules, sizes, symbols = grammar.compress(ids, 100, 2)
+    assert len(symbols) + 2 * len(rules) < len(ids) / 10
+    block = {"base": 100}
+    for name, values in (("rules", rules), ("expansions", sizes), ("symbols", symbols)):
+        block[name] = np.ascontiguousarray(values, "<u4").tobytes()
+    for start, length in ((0, 1), (17, 300), (len(ids) - 5, 5), (38, 38)):
+        assert grammar.decode_range(block, start, length).tolist() == ids[start : start + length].tolist()
+
+
+def test_grammar_files_hold_all_documents_in_order(spark, corners, corner_rows, nothing, clashing, tmp_path, monkeypatch):
+    monkeypatch.setattr(grammar, "BLOCK_IDS", 500)
+    grammar.write_grammar(corners, f"{tmp_path}/g", WORD)
+    found = grammar.read_grammar(spark, f"{tmp_path}/g").orderBy("start").collect()
+    rows = sorted(corner_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    at = 0
+    for r, (doc_id, text, *_) in zip(found, rows, strict=True):
+        ids = pieces_by_library([text or ""], WORD)[0] + [2]
+        assert (r.doc_id, r.start, r.n_tokens) == (doc_id, at, len(ids))
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids
+        at += len(ids)
+    grammar.write_grammar(nothing, f"{tmp_path}/none", WORD)
+    assert grammar.read_grammar(spark, f"{tmp_path}/none").count() == 0
+    grammar.write_grammar(clashing, f"{tmp_path}/clash", WORD)
+    assert grammar.read_grammar(spark, f"{tmp_path}/clash").count() == len(corner_rows)
