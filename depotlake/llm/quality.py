@@ -22,6 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from depotlake.llm.common import staged
+
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
@@ -168,7 +170,8 @@ def certify(
     )
     # One row per stratum, so this window is as small as the list of languages.
     strata = F.count("stratum").over(Window.partitionBy(F.lit(0)))
-    tests = good.select("stratum", "good", strata.alias("strata"), F.posexplode(rejected).alias("i", "rejected"))
+    counted = good.select("stratum", "good", rejected.alias("rejected"), strata.alias("strata"))
+    tests = counted.select("stratum", "good", "strata", F.posexplode("rejected").alias("i", "rejected"))
     passed = tests.select(
         "stratum",
         (F.col("i") + 1).alias("level"),
@@ -188,7 +191,8 @@ def judge(
     The base rule rejects by definition and is not part of the risk: what it rejects is left out
     of the count, so the bound holds for the good documents that pass it.
     """
-    ranked = measured.withColumn("base_failed", base_failed()).withColumn("level", level())
+    # At rest first: rules and labels both read the counts, which are the costly part.
+    ranked = staged(measured, "quality").withColumn("base_failed", base_failed()).withColumn("level", level())
     held = labels.select(F.col("doc_id"), (F.col("quality") == 1).alias("good")).where("good")
     labelled = ranked.where(~F.col("base_failed")).join(held, "doc_id")
     certified = certify(labelled.select("stratum", "level", "good"), max_rejected, confidence)

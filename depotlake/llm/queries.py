@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
 from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, secrets
-from depotlake.llm.common import staged, table
+from depotlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +56,7 @@ def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = staged(quality.measure(table(spark, sf_dir, "documents")), "quality")
+    measured = quality.measure(table(spark, sf_dir, "documents"))
     return quality.judge(measured, table(spark, sf_dir, "labels")).select(
         "doc_id",
         "n_words",
