@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
@@ -78,6 +78,29 @@ def slices(
             start = end
 
 
+def sample_texts(docs: DataFrame, code: Column, documents: int, size: int, codes: int = 1) -> dict[str, list[str]]:
+    """The first ``size`` characters of about ``documents`` distinct texts for each of the ``codes`` most
+    frequent values of ``code``: a bounded sample to fit a classifier on.
+
+    One pass counts the codes, one takes the texts whose hash falls below the code's share. Copies have
+    one hash and are merged before they leave their tasks. The order of the rows does not matter.
+    """
+    rows = docs.select(code.alias("code"), F.col("text").cast("string").alias("text"))
+    rows = rows.where((F.length("text") > 0) & F.col("code").isNotNull())
+    counts = rows.groupBy("code").count().orderBy(F.desc("count"), "code").limit(codes).collect()
+    if not counts:
+        return {}
+    shares = F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, 1.5 * documents / r[1]))))
+    hashed = rows.select("code", F.xxhash64("text").alias("h"), F.substring("text", 1, size).alias("start"))
+    place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    chosen = hashed.where(place < F.element_at(shares, F.col("code"))).groupBy("code", "h").agg(F.min("start").alias("start"))
+    found: dict[str, list[str]] = {r[0]: [] for r in counts}
+    for r in chosen.orderBy("h", "code").limit(2 * documents * len(counts)).collect():
+        if len(found[r.code]) < documents:
+            found[r.code].append(r.start)
+    return found
+
+
 def ragged_take(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """values[starts[i] : starts[i] + lengths[i]] of every i, one after the other."""
     ends = np.cumsum(lengths)

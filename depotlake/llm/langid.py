@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotlake.llm.common import map_arrow, raw_texts, slices, staged
+from depotlake.llm.common import map_arrow, raw_texts, sample_texts, slices, staged
 
 UNDETERMINED = "und"
 # The sample for the text model: documents per language, bytes of each, and languages at most.
@@ -91,7 +91,11 @@ def trigram_cells(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities per cell (cells x languages); the last column is the flat model."""
+    """Log probabilities per cell (cells x languages), then the flat model and the best language's.
+
+    A text is in some language if its trigrams, each in the language that knows it best, are likelier
+    than under the flat model; so a text in two languages is not rejected.
+    """
 
     languages: tuple[str, ...]
     logs: np.ndarray
@@ -101,32 +105,26 @@ class TextModel:
         cells, texts = trigram_cells(*raw_texts(column))
         rows = len(column)
         counts = np.bincount(texts, minlength=rows)
-        scores = np.stack(
-            [np.bincount(texts, weights=self.logs[cells, k], minlength=rows) for k in range(self.logs.shape[1])], axis=1
-        )
-        return scores, counts
+        scores = [np.bincount(texts, weights=self.logs[cells, k], minlength=rows) for k in range(self.logs.shape[1])]
+        # Without a single trigram numpy counts in integers.
+        return np.stack(scores, axis=1).astype(np.float64), counts
 
 
 def fit(docs: DataFrame, declared: Column, documents: int = SAMPLE_DOCUMENTS, size: int = SAMPLE_BYTES) -> TextModel:
-    """A text model from at most ``documents`` rows of each of the ``LANGUAGES`` most declared codes.
-
-    The sample is chosen by a hash of the text, so it does not depend on the order of the rows.
-    """
-    rows = docs.select(declared.alias("code"), F.col("text").cast("string").alias("text"))
-    rows = rows.where((F.length("text") > 0) & F.col("code").isNotNull() & (F.col("code") != UNDETERMINED))
-    common = rows.groupBy("code").count().orderBy(F.desc("count"), "code").limit(LANGUAGES)
-    codes = sorted(r.code for r in common.collect())
+    """A text model from at most ``documents`` rows of each of the ``LANGUAGES`` most declared codes."""
+    known = F.when(declared != UNDETERMINED, declared)
+    sample = sample_texts(docs, known, documents, size, LANGUAGES)
+    codes = sorted(sample)
     counts = np.zeros((CELLS, len(codes)))
     for k, code in enumerate(codes):
-        sample = rows.where(F.col("code") == code).orderBy(F.xxhash64("text")).limit(documents)
-        texts = [r[0] for r in sample.select(F.substring("text", 1, size)).collect()]
-        cells, _ = trigram_cells(*raw_texts(pa.array(texts, pa.string())))
+        cells, _ = trigram_cells(*raw_texts(pa.array(sample[code], pa.string())))
         counts[:, k] = np.bincount(cells, minlength=CELLS)
     # Trigrams nobody has seen weigh the same everywhere: half an observation.
     logs = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * CELLS))
     # Letters at random would hit the cells of all languages' trigrams about evenly.
     flat = np.full((CELLS, 1), -np.log(max(np.count_nonzero(counts.sum(axis=1)), 256)) - 2.0)
-    return TextModel(tuple(codes), np.concatenate([logs, flat], axis=1))
+    best = logs.max(axis=1, keepdims=True) if codes else flat
+    return TextModel(tuple(codes), np.concatenate([logs, flat, best], axis=1))
 
 
 def address(url: Column) -> dict[str, Column]:
@@ -163,6 +161,10 @@ def _scored(rows: DataFrame, model: TextModel, carry: T.StructType | None) -> Da
     return map_arrow(rows, run, T.StructType(fields))
 
 
+def _in_no_language() -> Column:
+    return (F.col("grams") == 0) | (F.element_at("logs", -2) >= F.element_at("logs", -1))
+
+
 def host_priors(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     """host, domain, suffix and the smoothed log prior of every language, from counts over all rows.
 
@@ -172,7 +174,7 @@ def host_priors(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     best = F.expr(f"array_position(logs, array_max(slice(logs, 1, {width})))") if width else F.lit(1)
     where = F.struct(*(F.coalesce(F.col(f"evidence.{c}"), F.lit("")).alias(c) for c in ("host", "domain", "suffix")))
     # Texts in no language say nothing of the host.
-    told = scored.where((F.col("grams") > 0) & (F.array_max("logs") > F.element_at("logs", -1)))
+    told = scored.where(~_in_no_language())
     per_host = told.select(where.alias("at"), best.alias("best")).groupBy("at", "best").agg(F.count("*").alias("n"))
     per_host = staged(per_host.select("at.*", "best", "n"), "hosts")
 
@@ -238,7 +240,7 @@ def identify(
         lambda a, b: a + b,
     )
     texts = joined.select("row", "logs", "grams", sums.alias("sums"))
-    no_text = (F.col("grams") == 0) | (F.element_at("logs", -1) >= F.array_max(F.slice("logs", 1, width)))
+    no_text = _in_no_language()
     name_of = lambda values, best: F.element_at(names, F.array_position(values, best).cast("int"))
     language = F.when(no_text, F.lit(UNDETERMINED)).otherwise(name_of(F.col("sums"), F.array_max("sums")))
     share = 1.0 / F.aggregate(F.transform("sums", lambda x: F.exp(x - F.array_max("sums"))), F.lit(0.0), lambda s, x: s + x)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotlake.llm.common import as_rows, map_arrow, raw_texts, slices, words_of
+from depotlake.llm.common import as_rows, map_arrow, raw_texts, sample_texts, slices, words_of
 
 UNKNOWN = "unknown"
 # Training: variants of each template, corpus documents for the unknown class, bytes of each.
@@ -254,9 +254,7 @@ def train(corpus: list[str], rounds: int = 300) -> Model:
 
 def fit(docs: DataFrame, documents: int = NEGATIVE_DOCUMENTS, size: int = NEGATIVE_BYTES) -> Model:
     """A model whose unknown class comes from at most ``documents`` texts, chosen by a hash."""
-    rows = docs.select(F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
-    sample = rows.orderBy(F.xxhash64("text"), "text").limit(documents)
-    return train([r[0] for r in sample.select(F.substring("text", 1, size)).collect()])
+    return train(sample_texts(docs, F.lit(UNKNOWN), documents, size).get(UNKNOWN, []))
 
 
 def _overlap(text: str, family: str) -> float:
