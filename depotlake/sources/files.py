@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,17 @@ from pyspark.sql.types import StructType
 from depotlake.schemas import FILE_MAPPING
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Delimited files with a header; every column stays text."""
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """One delimited file with a header, or a folder of its parts; every column stays text.
+
+    A quoted value may hold line breaks, for which a file is read as a whole by one task.
+    ``multiline=False`` lets Spark split large files that are known to have none.
+    """
     return (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", "\\")
+        .option("multiLine", multiline)
         .csv(path)
     )
 
@@ -30,9 +36,13 @@ def read_csv_by_name(
 ) -> DataFrame:
     """Delimited files bound to ``schema`` by header name, not by position.
 
-    Extra columns are ignored, missing optional ones become null, and a missing required
-    one is an error. Values that do not fit their type become null.
+    Each path has a header of its own, so columns may stand in another order in every file
+    of a list; the parts of a folder share one. Extra columns are ignored, missing optional
+    ones become null, and a missing required one is an error. Values that do not fit their
+    type become null.
     """
+    if not isinstance(path, str):
+        return reduce(DataFrame.unionByName, (read_csv_by_name(spark, p, schema, optional) for p in path))
     raw = read_csv_text(spark, path)
     missing = [f.name for f in schema if f.name not in raw.columns and f.name not in optional]
     if missing:
@@ -55,16 +65,18 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str | None =
 
     A delimited file may itself be a folder of parts: ``file_name`` and ``file_path`` are then
     those of the folder. ``folder_date`` is the date at the end of the folder name, if any.
+    ``uri`` is the path as Spark's file sources report it for a row.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     try:
-        files = reader.load(path).select("path", "length", "modificationTime")
+        uri = F.col("_metadata.file_path").alias("uri")
+        files = reader.load(path).select("path", "length", "modificationTime", uri)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "path STRING, length BIGINT, modificationTime TIMESTAMP")
+        files = spark.createDataFrame([], "path STRING, length BIGINT, modificationTime TIMESTAMP, uri STRING")
     file_path = F.regexp_replace("path", r"(\.csv)/[^/]*$", "$1")
     folder = F.element_at(F.split("path", "/"), -2)
     return files.withColumns(
@@ -87,6 +99,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as listings have it."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _hadoop_path(spark, path)
     fs.mkdirs(hadoop_path)
@@ -96,3 +114,11 @@ def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         fs, hadoop_path = _hadoop_path(spark, path)
         fs.delete(hadoop_path, True)
+
+
+def delete_empty(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete the folders that hold no file, at any depth."""
+    for folder in folders:
+        fs, hadoop_path = _hadoop_path(spark, folder)
+        if fs.exists(hadoop_path) and not fs.listFiles(hadoop_path, True).hasNext():
+            fs.delete(hadoop_path, True)

@@ -86,11 +86,11 @@ def test_archive_events_by_age_once_and_purge(spark, tmp_path):
     write(landing / "notadate" / "x.json", text)
     run_once = lambda **o: lifecycle.archive_events(spark, str(landing), dest, AS_OF, **o)
     assert rows(run_once()) == [(date(2025, 8, 27), 2, 2)]
-    assert rows(run_once()) == [(date(2025, 8, 27), 2, 2)]
+    assert rows(run_once()) == []  # nothing new, nothing read
     archive = lifecycle.read_archive(spark, dest)
     assert sorted(column(archive, "value")) == sorted([text, '{"shipment_id"'])
     assert (landing / "20250827").exists()
-    run_once(purge=True)
+    assert rows(run_once(purge=True)) == [(date(2025, 8, 27), 2, 2)]
     left = {p.name for p in landing.iterdir() if any(p.glob("*.json"))}
     assert left == {"20250828", "20250830", "notadate"}
     # A file that arrives after its day was archived joins the archive.
@@ -100,6 +100,38 @@ def test_archive_events_by_age_once_and_purge(spark, tmp_path):
     assert run_once().count() == 0
 
 
+def test_archive_events_takes_nested_files_and_leaves_what_it_has_not_archived(spark, tmp_path):
+    landing, dest = tmp_path / "20240101" / "landing", f"{tmp_path}/archive"
+    write(landing / "20250801" / "a.json", "one")
+    write(landing / "20250801" / "sub dir" / "c.json", "two\nlines")
+    write(landing / "20250801" / "b.txt", "foreign")
+    report = lifecycle.archive_events(spark, str(landing), dest, AS_OF, purge=True)
+    assert rows(report) == [(date(2025, 8, 1), 2, 2)]
+    assert sorted(column(lifecycle.read_archive(spark, dest), "value")) == ["one", "two\nlines"]
+    assert [p.name for p in (landing / "20250801").rglob("*") if p.is_file() and not p.name.startswith(".")] == ["b.txt"]
+
+
+def test_archive_batch_with_line_breaks_and_overlapping_prefixes(spark, tmp_path):
+    landing, dest = tmp_path / "landing", f"{tmp_path}/archive"
+    write(landing / "inventory_20250831.csv", 'a,b\n1,"two\nlines"\n')
+    write(landing / "inventory_x_20250831.csv", "a\n1\n")
+    write(landing / "sub" / "inventory_20250831.csv", "a\n9\n")
+    prefixes = [("inventory", "one"), ("inventory_x", "two")]
+    mapping = spark.createDataFrame(prefixes, "filenamePrefix STRING, sinkFolder STRING")
+    written = lifecycle.archive_batch(spark, str(landing), mapping, dest, AS_OF, purge=True)
+    assert [w.removeprefix(f"{dest}/20250831") for w in written] == [
+        "/one/inventory_20250831.csv",
+        "/two/inventory_x_20250831.csv",
+    ]
+    assert rows(read_csv_text(spark, written[0])) == [("1", "two\nlines")]
+    assert [p.name for p in landing.rglob("*.csv")] == ["inventory_20250831.csv"]
+
+
+def test_a_file_in_a_subfolder_has_not_arrived(spark, tmp_path, mapping):
+    write(tmp_path / "sub" / "inventory_20250831.csv", "a\n1\n")
+    assert not any(column(lifecycle.arrivals(spark, str(tmp_path), mapping, AS_OF), "is_present"))
+
+
 def test_archive_batch_keeps_files_apart(spark, tmp_path, mapping):
     landing, dest = tmp_path / "landing", f"{tmp_path}/archive"
     write(landing / "inventory_20250831.csv", "a,b\n1,x\n")
@@ -110,10 +142,11 @@ def test_archive_batch_keeps_files_apart(spark, tmp_path, mapping):
     assert [w.removeprefix(dest) for w in written] == [
         "/20250831/inventory/inventory_20250830.csv",
         "/20250831/inventory/inventory_20250831.csv",
+        "/20250831/other/other.csv",
         "/20250831/salesorder/salesorder_20250831.csv",
     ]
     assert rows(read_csv_text(spark, written[0])) == [("x", "1", "2")]
-    assert [p.name for p in landing.glob("*.csv")] == ["other.csv"]
+    assert not list(landing.glob("*.csv"))
 
 
 # --- the whole day -----------------------------------------------------------------------

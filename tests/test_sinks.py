@@ -83,6 +83,15 @@ def test_replace_partition_keeps_the_other_days_and_reruns(spark, db):
     assert rows(spark.table(f"{db}.{table.name}").select("snapshot_date").distinct()) == [(D1,)]
 
 
+def test_replace_partition_refuses_rows_of_other_days(spark, db):
+    table = FACT_INVENTORY_DAILY
+    ensure_tables(spark, db, [table])
+    replace_partition(inventory_day(spark, D1, 1), db, table, D1)
+    with pytest.raises(Exception, match="row of"):
+        replace_partition(inventory_day(spark, D2, 2), db, table, D1)
+    assert rows(spark.table(f"{db}.{table.name}").select("quantity_in_stock")) == [(1,)]
+
+
 def test_replace_partition_that_fails_leaves_the_former_rows(spark, db):
     table = FACT_INVENTORY_DAILY
     ensure_tables(spark, db, [table])
@@ -143,13 +152,10 @@ def test_upsert_table_touches_only_its_partitions(spark, db):
     assert stored.filter(F.col("sale_date") == D1).inputFiles() == untouched
 
 
-def test_upsert_table_with_more_partitions_than_are_named(spark, db, monkeypatch):
-    import depotlake.sinks.tables as module
-
-    monkeypatch.setattr(module, "NAMED_PARTITIONS", 1)
+def test_upsert_table_into_several_and_new_partitions(spark, db):
     table = FACT_SALES_DAILY
     ensure_tables(spark, db, [table])
-    replace_partitions(sales_rows(spark, *[("WH1", "P1", d, 1) for d in (D1, D2, D3)]), db, table)
+    replace_partitions(sales_rows(spark, *[("WH1", "P1", d, 1) for d in (D1, D2)]), db, table)
     upsert_table(sales_rows(spark, ("WH1", "P1", D2, 5), ("WH1", "P1", D3, 6)), db, table)
     assert rows(spark.table(f"{db}.{table.name}").select("sale_date", "qty_sold")) == [(D1, 1), (D2, 5), (D3, 6)]
 
@@ -274,7 +280,7 @@ def test_only_the_days_at_hand_are_read(spark, db):
 
     ensure_tables(spark, db)
     replace_partitions(sales_rows(spark, *[("WH1", "P1", d, 1) for d in (D1, D2, D3)]), db, FACT_SALES_DAILY)
-    target = _touched_partitions(spark.table(f"{db}.fact_sales_daily"), sales_rows(spark, ("WH1", "P1", D2, 1)), "sale_date")
+    target = _touched_partitions(spark.table(f"{db}.fact_sales_daily"), sales_rows(spark, ("WH1", "P1", D2, 1)), "sale_date", [str(D1), str(D2)])
     assert f"(sale_date#" in plan(target) and "PartitionFilters: [isnotnull(sale_date" in plan(target)
     assert len(target.inputFiles()) >= 1 and rows(target.select("sale_date")) == [(D2,)]
     snapshot = gold.supplychain_snapshot(
