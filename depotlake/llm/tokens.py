@@ -1,9 +1,9 @@
 """Token ids of whole texts, with each distinct word of a batch encoded once.
 
-A text is cut before white space that follows something else. The tokenizers used here never make
-a token across such a place, so the ids of the pieces, one after the other, are those of the text;
-a piece that occurs again in the batch costs a table lookup. Texts without white space are one
-piece of any length.
+A text is cut before white space that follows something else, and between a letter and a mark. The
+tokenizers used here never make a token across such a place, so the ids of the pieces, one after
+the other, are those of the text; a piece that occurs again costs a table lookup. Texts without
+such places are one piece of any length.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from depotlake.llm.common import ragged_take, raw_texts
 
 # Distinct pieces handed to the library at once: bounds the size of its result objects.
 PIECES_AT_ONCE = 20_000
+# Pieces whose ids a worker remembers: about 200 bytes each.
+PIECES_KEPT = 400_000
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -27,6 +29,10 @@ _LAST[[*range(0x80, 0x8B), 0xA0, 0xA8, 0xA9, 0xAF, 0x9F, *range(0x1C, 0x20)]] =
 # First bytes of two-byte letters, which share those last bytes and are no white space.
 _LETTER = np.zeros(256, bool)
 _LETTER[0xC3:0xE0] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 @cache
@@ -42,12 +48,62 @@ def _cuts(bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
     white = _WHITE[data]
     cut = white.copy()
     cut[1:] &= ~white[:-1]
-    starts = bounds[:-1][bounds[:-1] < bounds[1:]]
-    inner = np.flatnonzero(cut)
-    inner = inner[inner > bounds[0]]
-    doubtful = _LAST[data[inner - 1]] & ~_LETTER[data[np.maximum(inner - 2, 0)]]
-    inner = inner[~doubtful & (inner < bounds[-1])]
-    return np.union1d(inner, starts)
+    # Both patterns end a run of letters before these marks, and no special token holds them.
+    cut[1:] |= _MARK[data[1:]] & _ASCII_LETTER[data[:-1]]
+    after = np.flatnonzero(cut)
+    after = after[after > 0]
+    doubtful = _LAST[data[after - 1]] & ~_LETTER[data[np.maximum(after - 2, 0)]]
+    cut[after[doubtful]] = False
+    cut[: bounds[0]] = False
+    cut[bounds[-1] :] = False
+    cut[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    return np.flatnonzero(cut)
+
+
+class _Pieces:
+    """Ids of the pieces seen by this worker, up to ``PIECES_KEPT``; the rest is encoded each time."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.place: dict[bytes, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), PIECES_AT_ONCE):
+            some = [p.decode() for p in pieces[i : i + PIECES_AT_ONCE]]
+            found = tokenizer(self.path).encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids in one array, and the start and count of each piece's ids in it."""
+        places = np.array([self.place.get(p, -1) for p in pieces], np.int64)
+        missing = np.flatnonzero(places < 0)
+        new = [pieces[i] for i in missing.tolist()]
+        ids, counts = self._encode(new)
+        base = len(self.ids)
+        all_ids = np.concatenate([self.ids, ids])
+        starts = np.concatenate([self.starts, base + np.cumsum(counts) - counts])
+        all_counts = np.concatenate([self.counts, counts])
+        places[missing] = len(self.starts) + np.arange(len(missing))
+        room = max(PIECES_KEPT - len(self.place), 0)
+        if room and new:
+            kept = min(room, len(new))
+            end = int(counts[:kept].sum())
+            self.place.update(zip(new[:kept], range(len(self.starts), len(self.starts) + kept), strict=True))
+            self.ids = all_ids[: base + end]
+            self.starts = starts[: len(self.starts) + kept]
+            self.counts = all_counts[: len(self.counts) + kept]
+        return all_ids, starts[places], all_counts[places]
+
+
+@cache
+def _pieces(path: str) -> _Pieces:
+    return _Pieces(path)
 
 
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -60,19 +116,11 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     pieces = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(data)]
     ).dictionary_encode()
-    words = [w.decode() for w in pieces.dictionary.to_pylist()]
-    ids, counts = [], []
-    for i in range(0, len(words), PIECES_AT_ONCE):
-        some = words[i : i + PIECES_AT_ONCE]
-        found = tokenizer(path).encode(some, is_pretokenized=True, add_special_tokens=False)
-        ids.append(np.array(found.ids, np.uint32))
-        counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-    ids, counts = np.concatenate(ids), np.concatenate(counts)
+    ids, starts, counts = _pieces(path).lookup(pieces.dictionary.to_pylist())
     which = pieces.indices.to_numpy()
     lengths = counts[which]
-    flat = ragged_take(ids, (np.cumsum(counts) - counts)[which], lengths)
     total = np.append(0, np.cumsum(lengths))
-    return flat, total[np.searchsorted(cuts, bounds)]
+    return ragged_take(ids, starts[which], lengths), total[np.searchsorted(cuts, bounds)]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
