@@ -264,6 +264,26 @@ def oracle_sql() -> dict[str, str]:
             facts=STOCK_FACT.format(day="DATE '2024-04-15'", below=50),
             products=LATEST_PRODUCT.format(stock="inventory"),
         ),
+        "supplychain_snapshot_hot": using(
+            (*INVENTORY, *SHIPMENTS, "shipment_facts"),
+            """SELECT i.warehouse_id, i.product_id, p.product_name, i.quantity_in_stock, i.stock_status,
+                      f.shipment_id, f.status, f.city AS location, f.event_ts AS "timestamp",
+                      f.delay_reason, i.snapshot_date
+               FROM facts i JOIN products p ON i.product_id = p.product_id
+               JOIN shipment_facts f ON i.warehouse_id = f.warehouse_id
+               WHERE f.status IN ('In Transit', 'Delayed')""",
+            facts=STOCK_FACT.format(day="DATE '2024-04-15'", below=50),
+            products=LATEST_PRODUCT.format(stock="inventory"),
+        ),
+        "quarantine_shipments": using(
+            ("shipments_raw", "bronze"),
+            """SELECT * FROM (
+                 SELECT shipment_id, warehouse_id, status,
+                        CASE WHEN minute("timestamp") <> 7 THEN "timestamp" END AS "timestamp", ingestion_time,
+                        CASE WHEN NOT regexp_matches(warehouse_id, '^WH[0-9]+$') THEN 'invalid shipment key'
+                             WHEN minute("timestamp") = 7 THEN 'no readable event time' END AS reject_reason
+                 FROM bronze) WHERE reject_reason IS NOT NULL""",
+        ),
         "alerts_shipments": using(
             (*SHIPMENTS, "shipment_facts"),
             """SELECT shipment_id, warehouse_id, city AS location,

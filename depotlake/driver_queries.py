@@ -19,6 +19,7 @@ from depotlake.operators import (
     reconcile,
     upsert,
 )
+from depotlake.operators import grid
 from depotlake.plans import gold, lifecycle, silver
 from depotlake.sinks import (
     apply_retention,
@@ -118,6 +119,15 @@ def quarantine(spark, sf):
     return silver.quarantine(adapters.inventory_raw_text(spark, sf), adapters.sales_raw(spark, sf))
 
 
+def quarantine_shipments(spark, sf):
+    """Events of one minute of the hour carry a text that is no time."""
+    ts = F.col("timestamp")
+    text = F.when(F.minute(ts) == 7, "soon").otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    raw = adapters.shipments_raw(spark, sf).withColumn("timestamp", text)
+    run_ts = F.col("ingestion_time")
+    return adapters.as_ntz(silver.quarantine_shipments(silver.standardise_shipments(raw, run_ts)))
+
+
 def shipment_standardise(spark, sf):
     return adapters.as_ntz(bronze(spark, sf).drop("_rescued_data", "source_file"))
 
@@ -231,17 +241,23 @@ def _per_day(states: DataFrame) -> DataFrame:
     return gold.latest_by(rows, schemas.FACT_SHIPMENTS.keys, ["event_ts"])
 
 
-def supplychain_snapshot(spark, sf):
+def supplychain_snapshot(spark, sf, cell_rows=grid.CELL_ROWS):
     stock = staged(inventory(spark, sf), "inventory")
     snapshot = gold.supplychain_snapshot(
         gold.fact_inventory_daily(stock, AS_OF),
         gold.product_source(stock, AS_OF),
         staged(shipment_facts(spark, sf), "fact_shipments"),
         AS_OF,
+        cell_rows,
     )
     return adapters.as_ntz(snapshot)
 
 
+def supplychain_snapshot_hot(spark, sf):
+    """Cells so small that every warehouse is a hot key and is cut into a grid."""
+    return supplychain_snapshot(spark, sf, cell_rows=8)
+
+
 def alerts_shipments(spark, sf):
     return adapters.as_ntz(gold.alerts_shipments(shipment_facts(spark, sf)))
 
@@ -413,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "silver_inventory_text_dates": silver_inventory_text_dates,
     "silver_sales": silver_sales,
     "quarantine": quarantine,
+    "quarantine_shipments": quarantine_shipments,
     "shipment_standardise": shipment_standardise,
     "shipment_status": shipment_status,
     "shipment_location": shipment_location,
@@ -428,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "fact_shipments": fact_shipments,
     "fact_shipments_upsert": fact_shipments_upsert,
     "supplychain_snapshot": supplychain_snapshot,
+    "supplychain_snapshot_hot": supplychain_snapshot_hot,
     "alerts_shipments": alerts_shipments,
     "retention_purge": retention_purge,
     "partition_overwrite": partition_overwrite,

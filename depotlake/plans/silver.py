@@ -35,6 +35,12 @@ SHIPMENT_KEYS = ("shipment_id",)
 
 BLANK_LINE = "blank line"
 UNPARSED_DATE = "unparsed date"
+UNREADABLE_QUANTITY = "unreadable quantity"
+# Findings on rows that reach silver all the same, with a null in place of the value.
+KEPT_WITH_NULL = (UNPARSED_DATE, UNREADABLE_QUANTITY)
+
+INVALID_SHIPMENT_KEY = "invalid shipment key"
+UNREADABLE_TIME = "no readable event time"
 
 
 def _blank(df: DataFrame) -> Column:
@@ -42,7 +48,8 @@ def _blank(df: DataFrame) -> Column:
 
 
 def _missing(columns: Sequence[str]) -> dict[str, Column]:
-    return {f"missing {c}": F.col(c).isNull() for c in columns}
+    """A key of white space names nothing, as a null does."""
+    return {f"missing {c}": F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "") for c in columns}
 
 
 def _date(df: DataFrame, name: str) -> Column:
@@ -54,7 +61,13 @@ def _unparsed_date(df: DataFrame, name: str) -> Column:
 
 
 def _quantity(name: str) -> Column:
-    return F.coalesce(F.col(name).try_cast("int"), F.lit(0))
+    """No quantity is 0; a text that is no whole number is unknown."""
+    text = F.trim(F.col(name).cast("string"))
+    return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(text.try_cast("int"))
+
+
+def _unreadable_quantity(name: str) -> Column:
+    return _quantity(name).isNull()
 
 
 # --- inventory ---------------------------------------------------------------------------
@@ -125,11 +138,13 @@ def silver_sales(
 def quarantine(inventory: DataFrame, sales: DataFrame) -> DataFrame:
     """What the batch jobs put aside or could not read, one row per finding.
 
-    ``dropped`` tells rows that did not reach silver from rows that did with a null date.
+    ``dropped`` tells rows that did not reach silver from rows that did with a null date or
+    quantity.
     """
 
-    def findings(entity: str, raw: DataFrame, rules: dict[str, Column], date: str) -> DataFrame:
-        _, found = split_rejects(raw, {**rules, UNPARSED_DATE: _unparsed_date(raw, date)})
+    def findings(entity: str, raw: DataFrame, rules: dict[str, Column], date: str, quantity: str) -> DataFrame:
+        unread = {UNPARSED_DATE: _unparsed_date(raw, date), UNREADABLE_QUANTITY: _unreadable_quantity(quantity)}
+        _, found = split_rejects(raw, {**rules, **unread})
         order_id = F.col("order_id") if "order_id" in raw.columns else F.lit(None).cast("string")
         return found.select(
             F.lit(entity).alias("entity"),
@@ -138,12 +153,23 @@ def quarantine(inventory: DataFrame, sales: DataFrame) -> DataFrame:
             "warehouse_id",
             F.col(date).cast("string").alias("raw_date"),
             "reject_reason",
-            (F.col("reject_reason") != UNPARSED_DATE).alias("dropped"),
+            (~F.col("reject_reason").isin(*KEPT_WITH_NULL)).alias("dropped"),
         )
 
-    return findings("inventory", inventory, inventory_rules(inventory), "last_restock_date").unionByName(
-        findings("sales", sales, sales_rules(sales), "sale_date")
-    )
+    stock = findings("inventory", inventory, inventory_rules(inventory), "last_restock_date", "quantity_in_stock")
+    return stock.unionByName(findings("sales", sales, sales_rules(sales), "sale_date", "quantity_sold"))
+
+
+def quarantine_shipments(bronze: DataFrame) -> DataFrame:
+    """Bronze events that no gold table can show, with the reason.
+
+    Events with an invalid key do not reach silver; those without a readable time belong to
+    no day and so to no fact.
+    """
+    valid = F.coalesce(valid_shipment_key(F.col("shipment_id"), F.col("warehouse_id")), F.lit(False))
+    rules = {INVALID_SHIPMENT_KEY: ~valid, UNREADABLE_TIME: F.col("timestamp").isNull()}
+    _, found = split_rejects(bronze, rules)
+    return found.select("shipment_id", "warehouse_id", "status", "timestamp", "ingestion_time", "reject_reason")
 
 
 # --- shipments: the same functions serve the batch and the stream ------------------------

@@ -41,7 +41,7 @@ def test_silver_inventory(spark):
         ("WH1", "PRD1", "Lamp", 20, date(2025, 7, 5)),
         ("WH1", "PRD2", "Desk", 0, date(2025, 7, 2)),
         ("WH1", "PRD3", "Chair", 6, date(2025, 7, 1)),
-        ("WH1", "PRD4", "Hub", 0, None),
+        ("WH1", "PRD4", "Hub", None, None),
         ("WH2", "PRD5", "Mat", 8, date(2025, 7, 2)),
     ]
 
@@ -74,12 +74,17 @@ def test_quarantine_names_every_loss(spark):
             ("wh1", "p2", None, "1", "7/2/2025"),
             (None, None, None, None, None),
             ("wh1", "p3", "Desk", "1", "7/2/2025"),
+            ("wh1", "  ", "Desk", "1", "7/2/2025"),
+            ("wh1", "p4", "Desk", "1,200", "7/2/2025"),
+            ("wh1", "p5", "Desk", None, "7/2/2025"),
         ],
         INVENTORY,
     )
     sales = spark.createDataFrame(
         [
             (None, "p1", "1", "2025-07-01", "wh1"),
+            ("o4", "", "1", "2025-07-01", "wh1"),
+            ("o5", "p1", "12.0", "2025-07-01", "wh1"),
             ("o1", "p1", "1", "soon", "wh1"),
             ("o2", "p1", "1", None, "wh1"),
             ("o3", "p1", "1", "2025-07-01", None),
@@ -90,12 +95,18 @@ def test_quarantine_names_every_loss(spark):
     assert rows(found) == [
         ("inventory", "blank line", True),
         ("inventory", "missing product_id", True),
+        ("inventory", "missing product_id", True),
         ("inventory", "missing product_name", True),
         ("inventory", "unparsed date", False),
+        ("inventory", "unreadable quantity", False),
         ("sales", "missing order_id", True),
+        ("sales", "missing product_id", True),
         ("sales", "missing warehouse_id", True),
         ("sales", "unparsed date", False),
+        ("sales", "unreadable quantity", False),
     ]
+    stored = silver.silver_inventory(inventory).select("product_id", "quantity_in_stock")
+    assert rows(stored) == [("P1", 1), ("P3", 1), ("P4", None), ("P5", 0)]
 
 
 @pytest.fixture
@@ -115,6 +126,32 @@ def at(hour):
     return datetime(2025, 8, 31, hour)
 
 
+def test_shipment_events_in_are_out_or_rejected_or_repeated(bronze):
+    events = bronze(
+        ("s1", "wh1", "in transit", "x", "2025-08-31T13:00:00Z", None, at(1)),
+        ("s1", "wh1", "delayed", "x", "2025-08-31T14:00:00Z", None, at(2)),
+        ("s2", "X9", "delayed", "x", "2025-08-31T14:00:00Z", None, at(2)),
+        (None, "wh1", "delayed", "x", "2025-08-31T14:00:00Z", None, at(2)),
+        ("s3", None, "delayed", "x", "soon", None, at(2)),
+        ("s4", "wh1", "delayed", "x", "soon", None, at(2)),
+    )
+    found = silver.quarantine_shipments(events).select("shipment_id", "reject_reason")
+    assert sorted(map(str, rows(found))) == sorted(
+        map(
+            str,
+            [
+                (None, "invalid shipment key"),
+                ("S2", "invalid shipment key"),
+                ("S3", "invalid shipment key"),
+                ("S4", "no readable event time"),
+            ],
+        )
+    )
+    kept = silver.silver_shipments(events, at(3)).filter("timestamp IS NOT NULL")
+    repeated = 1
+    assert events.count() == kept.count() + found.count() + repeated
+
+
 def test_standardise_shipments(bronze):
     df = bronze((" sh1 ", " wh2", " In TRANSIT ", " x ", "2025-08-31T13:26:34Z", " Rain ", at(1)))
     assert rows(df) == [
