@@ -84,15 +84,17 @@ def publish(
     return spark.createDataFrame(sorted(counts.items()), "layer STRING, row_count BIGINT")
 
 
-def load_serving(spark: SparkSession, export_dir: str, serving_db: str, table: Table) -> None:
+def load_serving(spark: SparkSession, export_dir: str, serving_db: str, table: Table) -> str | None:
     """Create the serving table if missing and replace its rows by the Parquet export.
 
     Strings have a maximum length there and a longer value fails the load. The rows are
     loaded beside the table, which is pointed at them once they are complete, so a failed
-    load leaves the table as it was.
+    load leaves the table as it was. Returns the folder the table had before; the caller
+    deletes it when no query reads it any more.
     """
     name = f"{serving_db}.{table.name}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table.serving_ddl()}) USING parquet")
+    described = spark.sql(f"DESCRIBE TABLE FORMATTED {name}").filter("lower(col_name) = 'location'").first()
     load = uuid.uuid4().hex
     home = spark.catalog.getDatabase(serving_db).locationUri.rstrip("/")
     folder = f"{home}/{table.name}-{load}"
@@ -107,3 +109,4 @@ def load_serving(spark: SparkSession, export_dir: str, serving_db: str, table: T
     finally:
         # An external table: dropping it keeps the files.
         spark.sql(f"DROP TABLE {name}_{load}")
+    return described and described["data_type"]

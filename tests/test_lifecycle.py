@@ -6,7 +6,7 @@ import pytest
 from depotlake.config import Layout, dated_name, dated_path, scratch_dir
 from depotlake.plans import lifecycle, run
 from depotlake.schemas import GOLD
-from depotlake.sources import list_files, path_exists, read_csv_text, read_file_mapping
+from depotlake.sources import delete_paths, list_files, path_exists, read_csv_text, read_file_mapping
 from depotlake.streaming import stream_report
 from tests.conftest import AS_OF, RUN_TS
 from tests.helpers import column, rows
@@ -236,7 +236,16 @@ def test_two_days_end_to_end(spark, tmp_path):
         counts = {r.layer: r.row_count for r in report.collect()}
         assert counts["fact_shipments parquet"] == 3
         assert list((root / "landing").glob("*.csv")) == []
-        run.run_serving(spark, layout, "day_serving")
+        # A purged day can be run again, from bronze.
+        run.run_batch(spark, layout, db, second, RUN_TS)
+        assert tables(spark, db) == after_second
+        rejected = spark.read.parquet(f"{layout.quarantine}_shipments/{AS_OF:%Y%m%d}")
+        assert rows(rejected.select("shipment_id", "reject_reason")) == [("SH3", "invalid shipment key")]
+
+        first_load = run.run_serving(spark, layout, "day_serving")
+        former = run.run_serving(spark, layout, "day_serving")
+        assert len(former) == len(first_load) == len(GOLD)
+        delete_paths(spark, former)
         assert tables(spark, "day_serving") == {
             t.name: rows(spark.table(f"{db}.{t.name}").select(t.schema.fieldNames())) for t in GOLD
         }
