@@ -334,6 +334,26 @@ def oracle_sql() -> dict[str, str]:
                       CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id
                FROM sales_raw""",
         ),
+        "ingest_by_header": using(
+            ("sales_raw",),
+            """SELECT order_id, product_id, CAST(quantity_sold AS VARCHAR) AS quantity_sold,
+                      CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id
+               FROM sales_raw""",
+        ),
+        "archive_batch": using(
+            ("sales_raw",),
+            """SELECT order_id, product_id, CAST(quantity_sold AS VARCHAR) AS quantity_sold,
+                      CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id,
+                      CASE WHEN quantity_sold % 2 = 0 THEN 'salesorder' ELSE 'returns' END AS folder,
+                      0 AS left_in_landing
+               FROM sales_raw""",
+        ),
+        "publish_counts": using(
+            (*SHIPMENTS, "per_day"),
+            """SELECT layer, (SELECT count(*) FROM per_day) AS row_count
+               FROM (VALUES ('fact_shipments'), ('fact_shipments csv'), ('fact_shipments parquet')) AS t(layer)
+               UNION ALL SELECT 'acknowledged', 1""",
+        ),
         "archive_events": """
             SELECT CAST(ts AS DATE) AS ingest_date, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time
             FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-15' - 3""",

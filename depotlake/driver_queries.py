@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +27,14 @@ from depotlake.sinks import (
     ensure_tables,
     export,
     load_serving,
+    publish,
     read_export,
     replace_partition,
     replace_partitions,
     replace_table,
     upsert_table,
 )
-from depotlake.sources import read_csv_by_name, read_file_mapping
+from depotlake.sources import list_files, read_csv_by_name, read_file_mapping
 from depotlake.streaming import (
     bronze_shipments,
     latest_state,
@@ -369,6 +371,44 @@ def ingest_roundtrip(spark, sf):
     return read_csv_by_name(spark, list(written.values()), schemas.SALES_CSV)
 
 
+def ingest_by_header(spark, sf):
+    """Two files that hold half of the lines each, in different column order."""
+    raw = adapters.sales_raw(spark, sf)
+    halves = []
+    for half, columns in enumerate((raw.columns, raw.columns[::-1])):
+        halves.append(scratch_dir(spark, "half"))
+        own = raw.filter(F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == half)
+        own.select(*columns).write.option("header", True).csv(halves[-1])
+    return read_csv_by_name(spark, halves, schemas.SALES_CSV)
+
+
+def archive_batch(spark, sf):
+    """The day's landed file and one that no mapping names, copied and then deleted."""
+    landing, dest = scratch_dir(spark, "landing"), scratch_dir(spark, "archive")
+    raw = adapters.sales_raw(spark, sf)
+    even = F.coalesce(F.col("quantity_sold") % 2 == 0, F.lit(False))
+    for name, own in ((f"salesorder_{AS_OF:%Y%m%d}.csv", even), ("returns_late.csv", ~even)):
+        raw.filter(own).write.option("header", True).csv(f"{landing}/{name}")
+    mapping = spark.createDataFrame([("salesorder_", "salesorder")], schemas.FILE_MAPPING)
+    written = lifecycle.archive_batch(spark, landing, mapping, dest, AS_OF, purge=True)
+    left = list_files(spark, landing, "*.csv").count()
+    found = [
+        read_csv_by_name(spark, path, schemas.SALES_CSV).withColumn("folder", F.lit(path.split("/")[-2]))
+        for path in written
+    ]
+    return reduce(DataFrame.unionByName, found).withColumn("left_in_landing", F.lit(left))
+
+
+def publish_counts(spark, sf):
+    """The export's counts per layer and the acknowledgement that follows them."""
+    table = schemas.FACT_SHIPMENTS
+    db, out = scratch_db(spark, (table,)), scratch_dir(spark, "published")
+    replace_partitions(_per_day(shipments(spark, sf)), db, table)
+    counts = publish(spark, db, out, (table,))
+    said = spark.read.text(f"{out}/_success").select(F.col("value").alias("layer"), F.lit(1).alias("row_count"))
+    return counts.unionByName(said)
+
+
 def archive_events(spark, sf):
     dest = scratch_dir(spark, "archive")
     lifecycle.archive_events(spark, landing_folder(spark, sf), dest, date(2024, 1, 15), multiline=False)
@@ -457,6 +497,9 @@ QUERIES: dict[str, Query] = {
     "file_completeness": file_completeness_by_name,
     "file_completeness_counts": file_completeness_counts,
     "ingest_roundtrip": ingest_roundtrip,
+    "ingest_by_header": ingest_by_header,
+    "archive_batch": archive_batch,
+    "publish_counts": publish_counts,
     "archive_events": archive_events,
     "export_roundtrip_csv": export_roundtrip_csv,
     "export_roundtrip_parquet": export_roundtrip_parquet,
