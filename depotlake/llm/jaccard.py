@@ -14,7 +14,7 @@ of all its words. Documents link when ``100 * intersection >= percent * union``.
    bucket, twice. What is then connected needs no further comparison: the last round pairs only
    classes of different components, each against those outside its own.
 
-A class has its smallest doc_id as its node, so doc_id should identify a document. Rows without
+A class has its smallest doc_id as its node; rows that share a doc_id count as one document. Rows without
 doc_id are grouped with rows of equal words but link to nothing else. Documents without words are
 alone. Repeated rows are one class. An empty table gives no rows. Extra columns are ignored.
 """
@@ -38,6 +38,8 @@ from depotlake.llm.components import components
 CELL_BITS = 20
 BLOCK_CELLS = 1 << 14
 MIN_BITMAP = 512
+# Bits of the filter for the sets that a round needs.
+FILTER_BITS = 25
 STAR_ROUNDS = 2
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -170,24 +172,27 @@ def _fits(rule: Rule, n: Column, m: Column, i: Column, j: Column) -> Column:
     return (100 * small >= rule.percent * large) & ((100 + rule.percent) * most >= rule.percent * (n + m))
 
 
-def entries(classes: DataFrame) -> DataFrame:
+def classes_of(filled: DataFrame) -> DataFrame:
+    """node (the smallest doc_id), key and prefix key of each distinct set; numbers only."""
+    own = filled.where("doc_id IS NOT NULL").groupBy("k1", "k2", "n")
+    return own.agg(F.min("doc_id").alias("node"), F.first("prefix_key").alias("prefix_key"))
+
+
+def entries(filled: DataFrame, classes: DataFrame) -> DataFrame:
     """(token, node, n, place): classes in buckets of at least two, by shared prefix shingles.
 
-    Groups post their prefix once; their classes also meet in a bucket of their own.
+    A group, all classes of one prefix and size, posts its prefix once. Groups alone with a
+    shingle are dropped before they are expanded to their classes, which also meet in a bucket
+    of their own.
     """
-    groups = classes.groupBy("prefix_key", "n").agg(
-        F.min("node").alias("group"), F.count("*").alias("members"), F.first("prefix").alias("prefix")
-    )
-    postings = groups.select("group", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = staged(postings.groupBy("token").count().where("count > 1").select("token"), "tokens")
-    posted = postings.join(shared, "token")
-    crowded = groups.where("members > 1").select("prefix_key", "n", "group")
-    members = classes.select("prefix_key", "n", "node").join(crowded, ["prefix_key", "n"])
-    expanded = posted.join(members.select("group", "node"), "group", "left").select(
-        "token", F.coalesce("node", "group").alias("node"), "n", "place"
-    )
-    own = members.select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
-    return expanded.union(own)
+    key = ["prefix_key", "n"]
+    groups = filled.groupBy(*key).agg(F.first("prefix").alias("prefix"))
+    postings = groups.select(*key, F.posexplode("prefix").alias("place", "token"))
+    shared = postings.groupBy("token").count().where("count > 1").select("token")
+    expanded = postings.join(shared, "token").join(classes.select(*key, "node"), key)
+    crowded = classes.groupBy(*key).count().where("count > 1").select(*key)
+    own = classes.join(crowded, key).select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
+    return expanded.select("token", "node", "n", "place").union(own)
 
 
 def _against_leader(found: DataFrame, rule: Rule, turn: int) -> DataFrame:
@@ -214,9 +219,9 @@ def _across(found: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct()
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def _plausible(pairs: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose bitmaps allow a link; maps of different widths decide nothing."""
-    side = classes.select("node", "n", "bitmap")
+    side = described.select("doc_id", "n", "bitmap")
     joined = pairs.join(side.toDF("a", "n_a", "map_a"), "a").join(side.toDF("b", "n_b", "map_b"), "b")
     differing = F.aggregate(
         F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
@@ -224,7 +229,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     both = F.col("n_a") + F.col("n_b")
     # intersection = (both - difference) / 2 must reach percent / (100 + percent) of both.
     enough = (100 + rule.percent) * (both - differing) >= 2 * rule.percent * both
-    return joined.where((F.size("map_a") != F.size("map_b")) | enough).select("a", "b")
+    return joined.where((F.size("map_a") != F.size("map_b")) | enough).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -242,30 +247,45 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return map_arrow(joined.select("a", "b", "set_a", "set_b"), run, "a long, b long")
 
 
+def _marked(nodes: DataFrame) -> np.ndarray:
+    """A table of 2 ** FILTER_BITS bits with those of the nodes' hashes set: 4 MB, whatever the data."""
+    bit = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
+    words = nodes.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(node), 64) AS INT))").alias("mask"))
+    marks = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for word, mask in words.groupBy("word").agg(F.bit_or("mask")).collect():  # at most a row per word
+        marks[word] = mask
+    return marks
+
+
 def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(node, set) of the given nodes, computed from their texts."""
+    """(node, set) of the given nodes, computed from their texts, and of a few others.
+
+    The nodes are told by a filter of fixed size, so no text is shuffled; what it lets through
+    besides is not asked for. The fuller it gets, the more sets are made in vain.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(_marked(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), rule.size)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+        for batch in batches:
+            hashed = batch.column("hashed").to_numpy()
+            words = (hashed % (1 << FILTER_BITS)) >> 6
+            wanted = (marks.value[words] >> (hashed % 64)) & 1
+            batch = batch.filter(pa.array(wanted == 1))
+            for part in slices(iter([batch]), "text"):
+                sets = [x.tobytes() for x in shingle_sets(part.column("text"), rule.size)]
+                ids = part.column("doc_id").cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["node", "set"])
 
-    wanted = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return map_arrow(wanted, run, "node long, set binary").dropDuplicates(["node"])
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"))
+    return map_arrow(named, run, "node long, set binary")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every row."""
     described = staged(describe(docs, shingle_counts(docs, rule), rule), "sets")
     filled = described.where("n > 0")
-    classes = staged(
-        filled.where("doc_id IS NOT NULL")
-        .groupBy("k1", "k2", "n")
-        .agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("prefix_key", "prefix", "bitmap"))),
-        "classes",
-    )
-    found = staged(entries(classes), "entries")
-    sets = staged(whole_sets(docs, found.select("node").distinct(), rule), "whole")
+    classes = staged(classes_of(filled), "classes")
+    found = staged(entries(filled, classes), "entries")
     links: DataFrame | None = None
     labels: DataFrame | None = None
     for turn in range(STAR_ROUNDS + 1):
@@ -274,8 +294,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
         else:
             here = found.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         pairs = _against_leader(here, rule, turn) if turn < STAR_ROUNDS else _across(here, rule)
-        pairs = staged(_plausible(pairs, classes, rule), "pairs")
-        more = staged(_verified(pairs, sets, rule), "links")
+        pairs = staged(_plausible(pairs, filled, rule), "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        more = staged(_verified(pairs, staged(whole_sets(docs, nodes, rule), "whole"), rule), "links")
         links = more if links is None else links.union(more)
         labels = components(links)
     node = classes.select("k1", "k2", "n", "node").join(labels, "node", "left")

@@ -2,7 +2,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from depotlake.llm import jaccard
 from depotlake.llm.components import components
@@ -90,9 +89,9 @@ def test_components_of_chains_stars_and_loops(spark):
 
 
 def test_a_shared_prefix_is_posted_once(spark):
-    rows = [(k, 7, 10 + k, [1, 2], [0]) for k in range(3)] + [(9, 8, 20, [2, 3], [0])]
-    classes = spark.createDataFrame(rows, "node long, prefix_key long, k1 long, prefix array<long>, bitmap array<long>")
-    classes = classes.withColumn("n", F.lit(20).cast("long"))
-    found = sorted((r.token, r.node) for r in jaccard.entries(classes).collect())
+    rows = [(k, 20, 10 + k, 0, 7, [1, 2], [0]) for k in range(3)] + [(9, 20, 20, 0, 8, [2, 3], [0])]
+    described = spark.createDataFrame(rows, jaccard.SETS)
+    found = jaccard.entries(described, jaccard.classes_of(described)).collect()
     # Shingle 2 is shared with another group; the three classes of one prefix meet under its key.
-    assert found == [(2, 0), (2, 1), (2, 2), (2, 9), (7, 0), (7, 1), (7, 2)]
+    expected = [(2, 0), (2, 1), (2, 2), (2, 9), (7, 0), (7, 1), (7, 2)]
+    assert sorted((r.token, r.node) for r in found) == expected
