@@ -63,16 +63,16 @@ def as_rows(df: DataFrame) -> DataFrame:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], text: str | Callable[[pa.RecordBatch], pa.Array]
+    batches: Iterator[pa.RecordBatch], text: str | Callable[[pa.RecordBatch], pa.Array], size: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ``SLICE_BYTES`` of text each."""
+    """The batches cut to about ``size`` bytes of text each."""
     for batch in batches:
         if not batch.num_rows:
             continue
         bounds, _ = raw_texts(text(batch) if callable(text) else batch.column(text))
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(bounds, bounds[start] + SLICE_BYTES, side="left"))
+            end = int(np.searchsorted(bounds, bounds[start] + size, side="left"))
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end

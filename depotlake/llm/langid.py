@@ -37,6 +37,8 @@ SAMPLE_BYTES = 4_000
 LANGUAGES = 64
 
 CELLS = 1 << 15
+# Text scored at once: every byte of it takes some fifty bytes of arrays.
+SCORED_BYTES = 1 << 20
 # Trigrams of a text are not independent; each counts for this share of an observation.
 TEXT_WEIGHT = 0.2
 DECLARED_TRUST = 0.9
@@ -145,7 +147,7 @@ def _scored(rows: DataFrame, model: TextModel, carry: T.StructType | None) -> Da
     names, carried = [f.name for f in fields], None if carry is None else carry.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, lambda b: pc.struct_field(b.column("row"), "text")):
+        for batch in slices(batches, lambda b: pc.struct_field(b.column("row"), "text"), SCORED_BYTES):
             whole = batch.column("row")
             scores, counts = shared.value.score(pc.struct_field(whole, "text"))
             bounds = pa.array(np.arange(len(scores) + 1) * scores.shape[1], pa.int32())
