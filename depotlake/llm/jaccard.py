@@ -11,8 +11,9 @@ of all its words. Documents link when ``100 * intersection >= percent * union``.
    are expanded to their classes, compared by parity bitmaps, which bound the intersection from
    above, and the remaining pairs verified on the whole sets.
 4. Only connectivity is asked for, so each shingle first compares its classes with one leader of the
-   bucket, twice. What is then connected needs no further comparison: the last round pairs only
-   classes of different components, each against those outside its own.
+   bucket. What is then connected needs no further comparison: classes outside a bucket's largest
+   component are compared with those of other components, block by block inside the tasks, first
+   with the likeliest partners, then with all that are left.
 
 A class has its smallest doc_id as its node; rows that share a doc_id count as one document. Rows without
 doc_id are grouped with rows of equal words but link to nothing else. Documents without words are
@@ -40,7 +41,10 @@ BLOCK_CELLS = 1 << 14
 MIN_BITMAP = 512
 # Bits of the filter for the sets that a round needs.
 FILTER_BITS = 25
-STAR_ROUNDS = 2
+# One round with a leader per shingle, one with the likeliest partners, one with all that is left.
+ROUNDS = 3
+# Rows of a block when what is left of a bucket is compared.
+BLOCK_ROWS = 512
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -186,37 +190,112 @@ def entries(filled: DataFrame, classes: DataFrame) -> DataFrame:
     of their own.
     """
     key = ["prefix_key", "n"]
-    groups = filled.groupBy(*key).agg(F.first("prefix").alias("prefix"))
-    postings = groups.select(*key, F.posexplode("prefix").alias("place", "token"))
+    # The smallest doc_id names a group: postings of small numbers take less room than those of keys.
+    groups = filled.where("doc_id IS NOT NULL").groupBy(*key).agg(
+        F.min("doc_id").alias("group"), F.min("prefix").alias("prefix")
+    )
+    postings = groups.select("group", F.posexplode("prefix").alias("place", "token"))
     shared = postings.groupBy("token").count().where("count > 1").select("token")
-    expanded = postings.join(shared, "token").join(classes.select(*key, "node"), key)
-    crowded = classes.groupBy(*key).count().where("count > 1").select(*key)
-    own = classes.join(crowded, key).select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
+    named = classes.groupBy(*key).agg(F.min("node").alias("group"), F.count("*").alias("members"))
+    members = classes.select(*key, "node").join(named, key)
+    expanded = postings.join(shared, "token").join(members.select("group", "node", "n"), "group")
+    own = members.where("members > 1").select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
     return expanded.select("token", "node", "n", "place").union(own)
 
 
-def _against_leader(found: DataFrame, rule: Rule, turn: int) -> DataFrame:
+def _against_leader(found: DataFrame, rule: Rule) -> DataFrame:
     """Each class of a bucket with the bucket's leader, unless they are in one component."""
     one = F.struct("node", "n", "place", "component")
-    leaders = found.groupBy("token").agg(F.min_by(one, F.xxhash64("node", F.lit(turn))).alias("l"))
+    leaders = found.groupBy("token").agg(F.min_by(one, F.xxhash64("node")).alias("l"))
     pairs = found.join(leaders, "token").where(F.col("component") != F.col("l.component"))
     pairs = pairs.where(_fits(rule, F.col("n"), F.col("l.n"), F.col("place"), F.col("l.place")))
     return pairs.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct()
 
 
-def _across(found: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs of a bucket in different components: those outside its largest one with the others."""
+def _across(found: DataFrame, described: DataFrame, rule: Rule, best: bool) -> DataFrame:
+    """Plausible pairs of a bucket in different components: those outside its largest one with all.
+
+    A bucket is cut into blocks of some hundred rows, every block of outsiders meets every block of
+    the bucket, and pairs are compared by size, place and bitmap inside a task; only what
+    remains becomes a row. ``best`` keeps the likeliest partner of each outsider and block.
+    """
     parts = found.groupBy("token", "component").agg(F.count("*").alias("size"))
-    open_ = parts.groupBy("token").agg(F.max_by("component", "size").alias("major"), F.count("*").alias("parts"))
-    open_ = open_.where("parts > 1").select("token", "major")
-    left = found.join(open_, "token").where(F.col("component") != F.col("major"))
-    left = left.select("token", "major", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component")))
-    pairs = left.join(found, "token").where(
-        (F.col("component_a") != F.col("component"))
-        & ((F.col("component") == F.col("major")) | (F.col("node_a") < F.col("node")))
-        & _fits(rule, F.col("n_a"), F.col("n"), F.col("place_a"), F.col("place"))
+    buckets = parts.groupBy("token").agg(
+        F.max_by("component", "size").alias("major"),
+        F.sum("size").alias("rows"),
+        F.max("size").alias("most"),
+        F.count("*").alias("parts"),
+    )
+    cuts = buckets.where("parts > 1").select(
+        "token",
+        "major",
+        F.ceil((F.col("rows") - F.col("most")) / BLOCK_ROWS).alias("outside"),
+        F.ceil(F.col("rows") / BLOCK_ROWS).alias("whole"),
+    )
+    maps = described.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "bitmap")
+    rows = found.join(cuts, "token").join(maps, "node")
+    spread = F.xxhash64("node", F.lit("block"))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    own = ["token", "node", "n", "place", "component", "bitmap"]
+    outsiders = rows.where("component <> major").select(
+        *own, F.pmod(spread, F.col("outside")).alias("i"), every("whole").alias("j"), F.lit(True).alias("outsider")
     )
-    return pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct()
+    others = rows.select(
+        *own, every("outside").alias("i"), F.pmod(spread, F.col("whole")).alias("j"), F.lit(False).alias("outsider")
+    )
+    blocks = outsiders.unionByName(others).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("token", "i", "j")], axis=1)
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            pairs = []
+            for x, y in zip(edges[:-1], edges[1:], strict=True):
+                if key is not None and (keys[x] != key).any():
+                    pairs += _compare(held, rule, best)
+                    held = []
+                key = keys[x]
+                held.append(batch.slice(x, y - x))
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], names=["a", "b"])
+        if held and (pairs := _compare(held, rule, best)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], names=["a", "b"])
+
+    return map_arrow(blocks, run, "a long, b long").distinct()
+
+
+def _compare(held: list[pa.RecordBatch], rule: Rule, best: bool) -> list[tuple[int, int]]:
+    """The plausible pairs of one block of outsiders with one block of the bucket."""
+    table = pa.Table.from_batches(held).combine_chunks()
+    node, n, place, component = (table.column(c).to_numpy() for c in ("node", "n", "place", "component"))
+    outsider = table.column("outsider").to_numpy(zero_copy_only=False).astype(bool)
+    maps = [np.asarray(m, np.int64) for m in table.column("bitmap").to_numpy(zero_copy_only=False)]
+    widths = np.array([len(m) for m in maps])
+    others = np.flatnonzero(~outsider)
+    stacked = {w: np.stack([maps[k] for k in others[widths[others] == w]]) for w in set(widths[others].tolist())}
+    pairs = []
+    for x in np.flatnonzero(outsider).tolist():
+        small, large = np.minimum(n[x], n[others]), np.maximum(n[x], n[others])
+        most = np.minimum(place[x], place[others]) + 1 + np.minimum(n[x] - place[x], n[others] - place[others]) - 1
+        both = n[x] + n[others]
+        fits = (component[others] != component[x]) & (100 * small >= rule.percent * large)
+        fits &= (100 + rule.percent) * most >= rule.percent * both
+        if not fits.any():
+            continue
+        # Maps of another width decide nothing.
+        differing = np.zeros(len(others), np.int64)
+        if widths[x] in stacked:
+            differing[widths[others] == widths[x]] = np.bitwise_count(stacked[widths[x]] ^ maps[x]).sum(axis=1)
+        fits &= (100 + rule.percent) * (both - differing) >= 2 * rule.percent * both
+        hits = others[fits]
+        if best and len(hits):
+            hits = hits[[int(np.argmin(differing[fits] / both[fits]))]]
+        pairs += [(min(node[x], node[y]), max(node[x], node[y])) for y in hits.tolist()]
+    return pairs
 
 
 def _plausible(pairs: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
@@ -288,13 +367,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     found = staged(entries(filled, classes), "entries")
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    for turn in range(STAR_ROUNDS + 1):
+    for turn in range(ROUNDS):
         if labels is None:
             here = found.withColumn("component", F.col("node"))
         else:
             here = found.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = _against_leader(here, rule, turn) if turn < STAR_ROUNDS else _across(here, rule)
-        pairs = staged(_plausible(pairs, filled, rule), "pairs")
+        if turn == 0:
+            pairs = _plausible(_against_leader(here, rule), filled, rule)
+        else:
+            pairs = _across(here, filled, rule, best=turn < ROUNDS - 1)
+        pairs = staged(pairs, "pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         more = staged(_verified(pairs, staged(whole_sets(docs, nodes, rule), "whole"), rule), "links")
         links = more if links is None else links.union(more)
