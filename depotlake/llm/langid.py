@@ -39,6 +39,8 @@ LANGUAGES = 64
 CELLS = 1 << 15
 # Text scored at once: every byte of it takes some fifty bytes of arrays.
 SCORED_BYTES = 1 << 20
+# What a language's trigrams give to all cells: one it has not seen weighs the same in every language.
+BACK_OFF = 0.02
 # Trigrams of a text are not independent; each counts for this share of an observation.
 TEXT_WEIGHT = 0.2
 DECLARED_TRUST = 0.9
@@ -121,8 +123,8 @@ def fit(docs: DataFrame, declared: Column, documents: int = SAMPLE_DOCUMENTS, si
     for k, code in enumerate(codes):
         cells, _ = trigram_cells(*raw_texts(pa.array(sample[code], pa.string())))
         counts[:, k] = np.bincount(cells, minlength=CELLS)
-    # Trigrams nobody has seen weigh the same everywhere: half an observation.
-    logs = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * CELLS))
+    # However small its sample, no language lifts the trigrams it has not seen.
+    logs = np.log((1 - BACK_OFF) * counts / np.maximum(counts.sum(axis=0), 1) + BACK_OFF / CELLS)
     # Letters at random would hit the cells of all languages' trigrams about evenly.
     flat = np.full((CELLS, 1), -np.log(max(np.count_nonzero(counts.sum(axis=1)), 256)) - 2.0)
     best = logs.max(axis=1, keepdims=True) if codes else flat

@@ -156,6 +156,29 @@ def test_what_is_no_language_is_undetermined(spark, spoken):
     assert [found[i].language for i in (1, 2, 3, 4)] == ["und", "und", "und", "en"]
 
 
+FIRST, SECOND = "aeioumnlrstdh", "bcfgjkpqvwxyz"
+
+
+@pytest.fixture(scope="module")
+def alternating(spark):
+    """One language whose letters alternate between two sets: thousands of trigrams, none of them inside one set."""
+    chance = random.Random(8)
+    word = lambda: "".join(chance.choice((FIRST, SECOND)[(i + k) % 2]) for k in (chance.randrange(2),) for i in range(6))
+    rows = [(i, " ".join(word() for _ in range(200)), "en", "h") for i in range(60)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_a_rare_code_does_not_switch_rejection_off(spark, alternating):
+    chance = random.Random(9)
+    salad = " ".join("".join(chance.choice(FIRST) for _ in range(9)) for _ in range(30))
+    rare = spark.createDataFrame([(900, "abacabada ebecebede", "qq", "h")], alternating.schema)
+    for fitted in (alternating, alternating.union(rare)):
+        model = langid.fit(fitted, F.col("lang"))
+        rows = spark.createDataFrame([(1, salad, "en"), (2, "abacob idup evim", "en")], "doc_id long, text string, lang string")
+        found = by_id(langid.identify(rows, F.col("lang"), model=model))
+        assert [found[i].language for i in (1, 2)] == ["und", "en"]
+
+
 def test_a_host_counts_all_its_documents(spoken):
     model = langid.fit(spoken, F.col("lang"))
     rows = spoken.select(F.struct("text").alias("row"), F.struct(F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix")).alias("evidence"))
