@@ -137,7 +137,7 @@ def _identified(found: DataFrame, key: str) -> DataFrame:
         "language",
         F.round("posterior", 6).alias("posterior"),
         "text_language",
-        (F.col("language") != langid.UNDETERMINED).alias("kept"),
+        (~F.col("junk")).alias("kept"),
     )
 
 

@@ -179,6 +179,47 @@ def test_a_rare_code_does_not_switch_rejection_off(spark, alternating):
         assert [found[i].language for i in (1, 2)] == ["und", "en"]
 
 
+THAI = "ภาษาไทยเป็นภาษาที่ใช้ในประเทศไทย และมีผู้พูดจำนวนมาก " * 3
+HANGUL = "한국어는 한국에서 쓰는 말이다 그리고 많은 사람이 쓴다 " * 3
+
+
+def test_every_declared_code_gets_a_model(spark):
+    rows = []
+    for k in range(70):
+        chance = random.Random(k)
+        own = ["".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)]
+        code = "q" + chr(97 + k // 26) + chr(97 + k % 26)
+        rows += [(100 * k + i, " ".join(random.Random(1000 * k + i).choices(own, k=60)), code if i < 9 else None, code) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, truth string")
+    found = langid.identify(docs, F.col("lang")).collect()
+    assert len(langid.fit(docs, F.col("lang")).languages) == 70
+    assert all(r.language == r.row.truth and not r.junk for r in found)
+
+
+def test_what_no_model_covers_is_not_junk(spark, alternating):
+    model = langid.fit(alternating, F.col("lang"))
+    salad = " ".join("aeioumnls" for _ in range(30))
+    rows = [
+        (1, THAI, None, None),
+        (2, THAI, "th", None),
+        (3, HANGUL, None, "kr"),
+        (4, salad, "th", "kr"),
+        (5, "12 34", "th", "kr"),
+        (6, "Hi", None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, suffix string")
+    found = by_id(langid.identify(docs, F.col("lang"), suffix=F.col("suffix"), model=model))
+    assert [found[i].language for i in range(1, 6)] == ["und", "th", "ko", "und", "und"]
+    assert [found[i].junk for i in range(1, 7)] == [False, False, False, True, True, False]
+
+
+def test_undeclared_documents_are_not_junk(spark, alternating):
+    docs = alternating.select("doc_id", "text").union(spark.createDataFrame([(901, "aeioumnls " * 30), (902, THAI)], "doc_id long, text string"))
+    found = by_id(langid.identify(docs, F.lit(None)))
+    assert {r.language for r in found.values()} == {"und"}
+    assert [i for i, r in found.items() if r.junk] == [901]
+
+
 def test_a_host_counts_all_its_documents(spoken):
     model = langid.fit(spoken, F.col("lang"))
     rows = spoken.select(F.struct("text").alias("row"), F.struct(F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix")).alias("evidence"))
