@@ -1,6 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of key characters with a digit, or long runs of capitals and digits. For each, the
+Candidates are runs of key characters with a digit, long runs of capitals and digits, and whatever is
+assigned to a name that sounds like a secret: a quoted value whole, else the run up to a space, of any
+characters from four on. For each, the
 forest sees its length, the changes between character classes, how much of it common words cover,
 whether it is part of a path, address or mail, and the words beside it. It is trained by Spark's
 random forest on labelled findings, then written as one column expression, so a scan is one
@@ -24,7 +26,14 @@ from pyspark.sql import functions as F
 from depotlake.llm.common import as_rows, staged
 
 _KEY = r"A-Za-z0-9_+/\-"
-CANDIDATE = rf"(?<![{_KEY}])(?:(?=[A-Za-z_+/\-]*+[0-9])[{_KEY}]{{12,}}+|[A-Z0-9]{{16,}}+)"
+_LINK = r"(?:=>|:=|[=:])[ \t]{0,3}(?i:(?:bearer|basic) )?"
+_NAME = r"(?i:pass|pwd|secret|token|api.?key|credential|auth(?!or(?!i))|access.?key|private)[\w\-]{0,16}"
+# The one character first: it spares most places the longer looks back.
+_ASSIGNED = rf"(?<=[=:> \t\"'])(?<={_LINK}[\"']?)(?<={_NAME}[\"']?[ \t]{{0,3}}{_LINK}[\"']?)"
+# Punctuation that ends a run is not part of it, nor are the next parameter of an address and a tag.
+_RUN = r"(?:[^\s\"'&<]|&(?![\w.\-]+=)|<(?![/A-Za-z])){4,}(?<![.,;:)\]}])"
+_VALUE = rf"(?:(?<=\")[^\"\r\n]{{4,}}+(?=\")|(?<=')[^'\r\n]{{4,}}+(?=')|{_RUN})"
+CANDIDATE = rf"{_ASSIGNED}{_VALUE}|(?<![{_KEY}])(?:(?=[A-Za-z_+/\-]*+[0-9])[{_KEY}]{{12,}}+|[A-Z0-9]{{16,}}+)"
 CONTEXT = 40
 REDACTED = "[REDACTED]"
 
@@ -50,9 +59,15 @@ COMMON = (
     "week width window with work www year zone"
 ).split()
 
+# Words of sentences and of code that no one takes into a secret.
+PROSE = (
+    r"(?i)\b(?:a|an|the|your|you|to|is|are|was|for|of|in|on|or|and|not|no|be|must|please|enter|here|with|this|that|it|"
+    r"required|invalid|missing|none|null|true|false|string|str|text|int|bool|undefined|optional|forgot|forgotten)\b"
+)
+
 FEATURES = (
     "length digits changes hex vowels covered slashes in_path in_mail secret_word hash_word known_start distinct "
-    "only_digits assigned upper"
+    "only_digits assigned upper spaces marks prose reference quoted"
 ).split()
 
 
@@ -81,6 +96,11 @@ def features(token: Column, before: Column, after: Column) -> Column:
         "only_digits": flag(token.rlike(r"^[0-9+\-]+$")),
         "assigned": flag(before.rlike(r"[=:]\s{0,2}[\"']?$")),
         "upper": share("[A-Z]"),
+        "spaces": F.regexp_count(token, F.lit(" ")).cast("double"),
+        "marks": F.regexp_count(token, F.lit(r"[^\w+/\- ]")).cast("double"),
+        "prose": F.regexp_count(token, F.lit(PROSE)).cast("double"),
+        "reference": flag(token.rlike(r"^[$%{<*\[]|^https?:|\w\(|\w\[|^[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+$|(?i)your|example|^x+$")),
+        "quoted": flag(before.rlike("[\"']$")),
     }
     return F.struct(*(values[name].alias(name) for name in FEATURES))
 
@@ -98,10 +118,11 @@ def example_findings(spark: SparkSession, rows: int = EXAMPLES, seed: str = "fin
     words = F.concat_ws("", pick(COMMON, 5), pick(COMMON, 9), pick(COMMON, 13))
     syllables = ["sch", "er", "ber", "tz", "tion", "an", "the", "ing", "ou", "ll", "ez", "que", "ment", "ier", "on", "nd", "re", "ge"]
     spoken = F.concat(*(pick(syllables, at) for at in (33, 37, 41, 45, 49, 53, 57)))
+    invented = [F.concat(*(pick(syllables, at + i) for at in (33, 45))) for i in range(4)]
     secret = lambda name: F.concat(prose, F.lit(name))
     name = pick(["password", "PASSWORD", "passwd", "secret", "api_key", "apikey", "auth_token", "token", "client_secret", "access_key"], 17)
     link = pick(["=", " = ", ": ", ' = "', '="', "='", ": '"], 21)
-    upper = F.upper(b)
+    upper, digits = F.upper(b), F.substring(F.conv(F.substring("h", 9, 8), 16, 10), 1, 4)
     shapes = [
         (F.concat(prose, F.lit("key ")), F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), F.lit(" then"), 1),
         (prose, F.concat(F.lit("AKIA"), F.substring(upper, 3, 16)), F.lit(" of it"), 1),
@@ -122,6 +143,22 @@ def example_findings(spark: SparkSession, rows: int = EXAMPLES, seed: str = "fin
         (prose, F.upper(spoken), F.lit("!!"), 0),
         (F.concat(prose, F.lit("die ")), F.concat(spoken, F.substring(F.conv(F.substring("h", 1, 8), 16, 10), 1, 2)), F.lit(","), 0),
         (F.concat(prose, F.lit("src/")), F.concat(pick(COMMON, 29), F.lit("/"), words, F.lit("_"), F.substring(h, 1, 3), F.lit("2")), F.lit(".py"), 0),
+        (F.concat(prose, name, link), F.concat(F.initcap(pick(COMMON, 5)), digits, pick(["!", "#", "?", "$1", "@", ""], 21)), F.lit(" then"), 1),
+        (F.concat(prose, name, link), F.concat(F.translate(F.initcap(pick(COMMON, 9)), "eoais", "30415"), pick(["!", "#", "$", "%"], 13), pick(COMMON, 29), pick(["#", "!", "*"], 33), F.substring(digits, 1, 1)), F.lit(" in"), 1),
+        (F.concat(prose, name, link), F.substring(F.regexp_replace("b", "[^A-Za-z]", ""), 1, 20), F.lit("\n"), 1),
+        (F.concat(prose, name, link), F.substring(F.regexp_replace("b", "[^A-Za-z]", ""), 3, 16), F.lit(" and"), 1),
+        (F.concat(prose, name, link), F.substring(b, 7, 9), F.lit(" "), 1),
+        (F.concat(prose, name, pick(['="', ' = "', ': "'], 21)), F.concat_ws(" ", *(pick(COMMON, at) for at in (5, 9, 13, 29))), F.lit('" and'), 1),
+        (F.concat(prose, name, pick(['="', ' = "', ': "'], 21)), F.concat_ws(" ", *invented), F.lit('" and'), 1),
+        (F.concat(prose, name, link), F.concat_ws("-", *(pick(COMMON, at) for at in (5, 9, 13, 29))), F.lit(" and"), 1),
+        (F.concat(prose, name, link), F.concat_ws("-", *invented), F.lit(" and"), 1),
+        (F.concat(prose, name, pick([": ", "=", " = "], 21)), pick(COMMON, 5), F.lit(" for"), 0),
+        (F.concat(prose, name, pick([": ", "=", " = "], 21)), pick(["required", "None", "null", "string", "undefined", "missing", "invalid", "true", "optional", "forgotten"], 5), F.lit(" for"), 0),
+        (F.concat(prose, name, F.lit(": ")), spoken, F.lit(" and"), 0),
+        (F.concat(prose, name, link), F.concat(pick(COMMON, 5), F.lit("."), pick(COMMON, 9), pick(["", "()", '("x")'], 13)), F.lit(" in"), 0),
+        (F.concat(prose, name, link), F.concat(pick(["$", "${", "%(", "{{"], 5), F.upper(pick(COMMON, 9)), F.lit("_"), F.upper(pick(COMMON, 13))), F.lit("\n"), 0),
+        (F.concat(prose, name, link), pick(["********", "xxxxxxxx", "your_password", "your-api-key", "YOUR_TOKEN_HERE", "example"], 5), F.lit("\n"), 0),
+        (F.concat(prose, name, pick(['="', ' = "', ': "'], 21)), F.concat_ws(" ", pick(["Please enter the", "Enter your", "The", "This is the", "You must set a"], 5), pick(COMMON, 9), pick(["for the", "of this", "is not in the", "or the"], 13), pick(COMMON, 29)), F.lit('",'), 0),
     ]
     kind = F.col("id") % len(shapes)
     made = F.when(F.lit(False), F.struct(F.lit("").alias("before"), F.lit("").alias("token"), F.lit("").alias("after"), F.lit(0).alias("label")))
@@ -217,3 +254,12 @@ def redact(docs: DataFrame, forest: Forest, threshold: float = 0.5) -> DataFrame
     scanned = scan(docs, forest, threshold)
     own: Callable[[str], Column] = lambda c: F.col("redacted").alias(c) if c == "text" else F.col("row").getField(c).alias(c)
     return scanned.select(*(own(c) for c in docs.columns))
+
+
+def through_scan(findings: DataFrame, forest: Forest, threshold: float = 0.5) -> tuple[float, float]:
+    """Of labelled findings written out as texts: the share of secrets redacted whole, and of others touched."""
+    texts = findings.select("token", "label", F.concat("before", "token", "after").alias("text"))
+    scanned = scan(texts, forest, threshold)
+    whole = F.exists("secrets", lambda s: s["token"] == F.col("row.token"))
+    of = lambda label, hit: F.avg(F.when(F.col("row.label") == label, hit.cast("double")))
+    return tuple(scanned.agg(of(1, whole), of(0, F.size("secrets") > 0)).first())

@@ -58,6 +58,33 @@ def test_candidates_are_found_once_and_whole(spark, forest):
     assert [c.token for c in scanned.found] == [KEY, KEY, "a" * 5000 + "1", "ABCDEFGHIJKLMNOPQ", "x/" * 8 + "9"]
 
 
+def test_what_is_assigned_to_a_secret_name_goes(spark, forest):
+    r = secrets.REDACTED
+    gone = [
+        ("password=Winter2024! now", f"password={r} now"),
+        ('"passwd": "S3cr3t!pass#1", x', f'"passwd": "{r}", x'),
+        ("api_key=QwxRtLmZkPvBnHsDgFjT\n", f"api_key={r}\n"),
+        ("see ?token=xKqWzRtPmLvBnHsD&user=ann", f"see ?token={r}&user=ann"),
+        ('client_secret = "walnut copper ridge lantern"', f'client_secret = "{r}"'),
+        ("the password: kR7#pw.", f"the password: {r}."),
+    ]
+    stay = [
+        "the author: Margaret and the token: required for all",
+        "password = config.get('x') or None",
+        'password: "Please enter the password for this account",',
+        "passwords: they are long. secret: nobody knows",
+    ]
+    docs = spark.createDataFrame(list(enumerate([t for t, _ in gone] + stay)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in secrets.redact(docs, forest).collect()}
+    assert [found[i] for i in range(len(found))] == [t for _, t in gone] + stay
+
+
+def test_recall_is_measured_from_text(spark, forest):
+    recall, touched = secrets.through_scan(secrets.example_findings(spark, rows=1700, seed="texts"), forest)
+    print("recall", recall, "touched", touched)
+    assert recall > 0.95 and touched < 0.05
+
+
 def test_secret_corner_rows(spark, forest, corners, clashing, nothing):
     assert sorted(map(repr, secrets.redact(corners, forest).collect())) == sorted(map(repr, corners.collect()))
     assert secrets.redact(clashing, forest).columns == clashing.columns
