@@ -1,6 +1,7 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is what stands between line breaks. A sparse logistic regression over its words and word
+A paragraph is what stands between line breaks; a notice wrapped over neighbouring lines, with or without
+comment marks, is found as a run of lines and named by the first, where no line holds it alone. A sparse logistic regression over its words and word
 pairs gives a probability for each licence family and for none (``unknown``). It is trained on notices
 with words dropped, replaced and surrounded, against paragraphs of the corpus and sentences that use
 the same words for other things. Its temperature and the least probability for a family are set on held-out examples, so
@@ -262,8 +263,76 @@ def _overlap(text: str, family: str) -> float:
     return max(len(own & template) / len(template) for template in map(pairs, TEMPLATES[family]))
 
 
+NOTICES = [(family, pairs(t)) for family, own in TEMPLATES.items() for t in own]
+
+
+def _runs(events: list[tuple[int, int, str]], need: float) -> list[tuple[int, int, int]]:
+    """Runs of lines with at least ``need`` distinct pairs: first and last line, and their pairs.
+
+    ``events`` are pairs with the lines of their two words, in order. A run is the shortest that holds
+    enough, grown by neighbouring lines as long as they add pairs; the next starts behind it.
+    """
+    found, start = [], 0
+    starts = sorted({e[0] for e in events})
+    while start < len(events):
+        low, times, run = start, {}, None
+        for k in range(start, len(events)):
+            times[events[k][2]] = times.get(events[k][2], 0) + 1
+            while len(times) >= need and low <= k:
+                # The run ends here; it starts as late as it can.
+                run = (events[low][0], events[k][1])
+                pair = events[low][2]
+                times[pair] -= 1
+                if not times[pair]:
+                    del times[pair]
+                low += 1
+            if run:
+                break
+        if not run:
+            break
+        inside = lambda a, b: {p for x, y, p in events if a <= x and y <= b}
+        first, last = run
+        held = inside(first, last)
+        while len(grown := inside(first, last + 1)) > len(held):
+            last, held = last + 1, grown
+        while first > starts[0] and len(grown := inside(first - 1, last)) > len(held):
+            first, held = first - 1, grown
+        found.append((first, last, len(held)))
+        start = next((k for k, e in enumerate(events) if e[0] > last), len(events))
+    return found
+
+
+def _wrapped(line: np.ndarray, of_text: np.ndarray, number: np.ndarray, numbers: dict[str, int]):
+    """(first line, last line, family, overlap) of the runs of two or more lines that hold a template."""
+    if len(number) < 2:
+        return []
+    # Lines without a word, and ends of texts, part blocks of lines.
+    apart = (np.diff(line) > 1) | (np.diff(of_text[line]) > 0)
+    block = np.concatenate([[0], np.cumsum(apart)])
+    known = sorted(set().union(*(own for _, own in NOTICES)))
+    codes = np.array([(numbers[a] << 32) | numbers[b] for a, _, b in (t.partition(" ") for t in known)], np.int64)
+    order = np.argsort(codes)
+    code = (number[:-1] << 32) | number[1:]
+    spot = np.minimum(np.searchsorted(codes[order], code), len(codes) - 1)
+    hits = np.flatnonzero((codes[order][spot] == code) & ~apart)
+    pair, at = order[spot[hits]], block[hits]
+    blocks, place = np.unique(at, return_inverse=True)
+    distinct = np.unique(place.astype(np.int64) * len(known) + pair)
+    found = []
+    for family, own in NOTICES:
+        member = np.array([t in own for t in known])
+        times = np.bincount((distinct // len(known))[member[distinct % len(known)]], minlength=len(blocks))
+        for b in np.flatnonzero(times >= CONFIRMED * len(own)).tolist():
+            low, high = np.searchsorted(place, [b, b + 1])
+            chosen = [k for k in range(low, high) if member[pair[k]]]
+            events = [(int(line[hits[k]]), int(line[hits[k] + 1]), known[pair[k]]) for k in chosen]
+            runs = _runs(events, CONFIRMED * len(own))
+            found += [(a, z, family, n / len(own)) for a, z, n in runs if a < z]
+    return found
+
+
 def _line_scores(column: pa.Array, model: Model):
-    """Terms of all paragraphs: (paragraph, term place) pairs, and where paragraphs start and end."""
+    """Terms of all paragraphs: (paragraph, term place) pairs, where paragraphs start and end, wrapped notices."""
     bounds, data = raw_texts(column)
     found, starts, _, _ = words_of(column, _FOLD)
     breaks = np.flatnonzero(data[bounds[0] : bounds[-1]] == 10) + bounds[0]
@@ -272,7 +341,7 @@ def _line_scores(column: pa.Array, model: Model):
     distinct = [w.rstrip(b" ").decode("utf-8", "replace") for w in found.dictionary.to_pylist()]
     which = found.indices.to_numpy()
     # Numbers for words that occur in some term; all others are 0.
-    numbers = {w: i + 1 for i, w in enumerate(sorted({w for t in model.places for w in t.split(" ")}))}
+    numbers = {w: i + 1 for i, w in enumerate(sorted({w for t in (*model.places, *(p for _, own in NOTICES for p in own)) for w in t.split(" ")}))}
     number = np.array([numbers.get(w, 0) for w in distinct], np.int64)[which] if distinct else np.zeros(0, np.int64)
     singles = np.full(len(numbers) + 1, -1, np.int64)
     couples = {}
@@ -293,7 +362,8 @@ def _line_scores(column: pa.Array, model: Model):
         lines.append(line[:-1][hit])
         places.append(values[spot[hit]])
     both = np.unique(np.stack([np.concatenate(lines), np.concatenate(places)], axis=1), axis=0)
-    return both, firsts, bounds, data
+    of_text = np.searchsorted(bounds, firsts, side="right") - 1
+    return both, firsts, bounds, data, _wrapped(line, of_text, number, numbers)
 
 
 def scan(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:
@@ -309,7 +379,7 @@ def scan(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataF
         own = shared.value
         for batch in slices(batches, lambda b: pc.struct_field(b.column("row"), "text")):
             rows = batch.column("row")
-            both, firsts, bounds, data = _line_scores(pc.struct_field(rows, "text"), own)
+            both, firsts, bounds, data, wrapped = _line_scores(pc.struct_field(rows, "text"), own)
             sums = np.zeros((len(firsts), len(own.families)))
             np.add.at(sums, both[:, 0], own.weights[both[:, 1]])
             sure = own.probabilities(sums) if len(firsts) else sums
@@ -319,13 +389,30 @@ def scan(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataF
             first_line = np.searchsorted(firsts, bounds)
             found: list[list] = [[] for _ in range(batch.num_rows)]
             edges = np.append(firsts, bounds[-1])
+            between = lambda a, z: bytes(data[edges[a] : min(edges[z + 1], bounds[of_text[a] + 1])]).decode("utf-8", "replace")  # noqa: E731, B023
+            alone, taken = set(), set()
             for k in passed.tolist():
-                text = bytes(data[edges[k] : min(edges[k + 1], bounds[of_text[k] + 1])]).decode("utf-8", "replace")
+                text = between(k, k)
                 family = own.families[best[k]]
                 overlap = _overlap(text, family)
                 found[of_text[k]].append(
                     (k - int(first_line[of_text[k]]), family, float(sure[k, best[k]]), overlap, overlap >= CONFIRMED)
                 )
+                if overlap >= CONFIRMED:
+                    alone.add((k, family))
+            # Of runs that share a line the one that holds most of its template.
+            for a, z, family, overlap in sorted(wrapped, key=lambda w: (-w[3], w[0], w[1])):
+                chance = own.of(between(a, z))
+                k = int(chance[:-1].argmax())
+                # A whole template names its family; less of one must agree with the classifier.
+                if 1 - chance[-1] < own.least or (overlap < 1 and own.families[k] != family):
+                    continue
+                if any((i, family) in alone or i in taken for i in range(a, z + 1)):
+                    continue
+                taken.update(range(a, z + 1))
+                found[of_text[a]].append((a - int(first_line[of_text[a]]), family, float(1 - chance[-1]), overlap, True))
+            for own_found in found:
+                own_found.sort(key=lambda f: f[0])
             kept = pa.StructArray.from_arrays([pc.struct_field(rows, c) for c in carry], names=carry)
             names = ["paragraph", "family", "probability", "overlap", "confirmed"]
             listed = pa.array([[dict(zip(names, f, strict=True)) for f in own_found] for own_found in found], _KIND)

@@ -129,6 +129,37 @@ def test_scan_equals_one_paragraph_at_a_time(spark, notices):
             assert abs(own.max() - f.probability) < 1e-9 and notices.families[own.argmax()] == f.family
 
 
+def test_wrapped_notices_are_found(spark, notices):
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without",
+        "modification, are permitted provided that the following conditions",
+        "are met:",
+    )
+    lgpl = (
+        "This library is free software; you can redistribute it and/or",
+        "modify it under the terms of the GNU Lesser General Public",
+        "License as published by the Free Software Foundation; either",
+        "version 2.1 of the License, or (at your option) any later version.",
+    )
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify",
+        "it under the terms of the GNU General Public License as published by",
+        "the Free Software Foundation, either version 3 of the License, or",
+        "(at your option) any later version.",
+    )
+    headers = [("BSD", bsd), ("LGPL", lgpl), ("GPL", gpl)]
+    rows, truth = [], {}
+    for family, lines in headers:
+        for mark in ("", " * ", "// ", "# "):
+            truth[len(rows)] = family
+            rows.append((len(rows), "\n".join([prose(12, 1), mark, *(mark + x for x in lines), mark, prose(9, 2)])))
+    scattered = "\n\n".join(x for x in bsd)
+    docs = spark.createDataFrame([*rows, (99, scattered)], "doc_id long, text string")
+    found = {r.row.doc_id: [f.family.split("-")[0] for f in r.findings if f.confirmed] for r in licences.scan(docs, notices).collect()}
+    assert {i: found[i] for i in truth} == {i: [family] for i, family in truth.items()}
+    assert found[99] == []
+
+
 def test_licence_corner_rows(notices, corners, clashing, nothing):
     rows = licences.scan(corners, notices).collect()
     assert len(rows) == corners.count() and not any(r.findings for r in rows)
