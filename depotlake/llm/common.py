@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -42,10 +43,24 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return what a worker has freed to the system; Spark reuses workers, and allocators keep memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library has no such call
+        return
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def raw_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

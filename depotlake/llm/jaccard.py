@@ -273,7 +273,8 @@ def _compare(held: list[pa.RecordBatch], rule: Rule, best: bool) -> list[tuple[i
     table = pa.Table.from_batches(held).combine_chunks()
     node, n, place, component = (table.column(c).to_numpy() for c in ("node", "n", "place", "component"))
     outsider = table.column("outsider").to_numpy(zero_copy_only=False).astype(bool)
-    maps = [np.asarray(m, np.int64) for m in table.column("bitmap").to_numpy(zero_copy_only=False)]
+    # Unsigned: numpy counts the bits of a signed word's absolute value.
+    maps = [np.asarray(m, np.int64).view(np.uint64) for m in table.column("bitmap").to_numpy(zero_copy_only=False)]
     widths = np.array([len(m) for m in maps])
     others = np.flatnonzero(~outsider)
     stacked = {w: np.stack([maps[k] for k in others[widths[others] == w]]) for w in set(widths[others].tolist())}

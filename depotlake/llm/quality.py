@@ -10,8 +10,9 @@ the good documents rejected. A stratum with too few labels certifies nothing and
 
 Everything is built-in column functions. Texts are scanned whole, null counts as empty. Documents without words have zero counts
 and fail the base rule. A null language is a stratum of its own; labels without a document or with a
-null quality count for nothing; a document labelled twice counts twice. Repeated rows are judged row
-by row. Empty labels reject nothing beyond the base rule. Extra columns are ignored.
+null quality count for nothing; a document counts once, with the level that rejects it first, however
+often it is labelled or repeated, and as good only if none of its labels denies it. Repeated rows are
+judged row by row. Empty labels reject nothing beyond the base rule. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -193,9 +194,12 @@ def judge(
     """
     # At rest first: rules and labels both read the counts, which are the costly part.
     ranked = staged(measured, "quality").withColumn("base_failed", base_failed()).withColumn("level", level())
-    held = labels.select(F.col("doc_id"), (F.col("quality") == 1).alias("good")).where("good")
+    # The tail needs independent draws: a document counts once, however often it is labelled or repeated.
+    held = labels.groupBy("doc_id").agg((F.min(F.col("quality").cast("double")) == 1).alias("good")).where("good")
     labelled = ranked.where(~F.col("base_failed")).join(held, "doc_id")
-    certified = certify(labelled.select("stratum", "level", "good"), max_rejected, confidence)
+    strictest = F.min(F.struct("level", "stratum")).alias("drawn")
+    drawn = labelled.groupBy("doc_id").agg(strictest).select("drawn.*", F.lit(True).alias("good"))
+    certified = certify(drawn, max_rejected, confidence)
     return (
         ranked.join(certified, "stratum", "left")
         .withColumn("certified", F.coalesce("certified", F.lit(0)))

@@ -30,8 +30,15 @@ _LINK = r"(?:=>|:=|[=:])[ \t]{0,3}(?i:(?:bearer|basic) )?"
 _NAME = r"(?i:pass|pwd|secret|token|api.?key|credential|auth(?!or(?!i))|access.?key|private)[\w\-]{0,16}"
 # The one character first: it spares most places the longer looks back.
 _ASSIGNED = rf"(?<=[=:> \t\"'])(?<={_LINK}[\"']?)(?<={_NAME}[\"']?[ \t]{{0,3}}{_LINK}[\"']?)"
-# Punctuation that ends a run is not part of it, nor are the next parameter of an address and a tag.
-_RUN = r"(?:[^\s\"'&<]|&(?![\w.\-]+=)|<(?![/A-Za-z])){4,}(?<![.,;:)\]}])"
+# Punctuation that ends a run is not part of it, nor are the next parameter of an address and a tag. All
+# loops are possessive: the JVM's engine runs those in place, others take a stack frame per character.
+_MARK = r"[.,;:)\]}]"
+_SIGN = r"&(?![\w.\-]++=)|<(?![/A-Za-z])"
+_PLAIN = r"[^\s\"'&<.,;:)\]}]"
+_RUN = (
+    rf"(?=(?:{_PLAIN}|{_MARK}|{_SIGN}){{3}}{_MARK}*+(?:{_PLAIN}|{_SIGN}))"
+    rf"(?:{_PLAIN}++|{_SIGN}|{_MARK}++(?={_PLAIN}|{_SIGN}))++"
+)
 _VALUE = rf"(?:(?<=\")[^\"\r\n]{{4,}}+(?=\")|(?<=')[^'\r\n]{{4,}}+(?=')|{_RUN})"
 CANDIDATE = rf"{_ASSIGNED}{_VALUE}|(?<![{_KEY}])(?:(?=[A-Za-z_+/\-]*+[0-9])[{_KEY}]{{12,}}+|[A-Z0-9]{{16,}}+)"
 CONTEXT = 40
@@ -99,7 +106,7 @@ def features(token: Column, before: Column, after: Column) -> Column:
         "spaces": F.regexp_count(token, F.lit(" ")).cast("double"),
         "marks": F.regexp_count(token, F.lit(r"[^\w+/\- ]")).cast("double"),
         "prose": F.regexp_count(token, F.lit(PROSE)).cast("double"),
-        "reference": flag(token.rlike(r"^[$%{<*\[]|^https?:|\w\(|\w\[|^[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+$|(?i)your|example|^x+$")),
+        "reference": flag(token.rlike(r"^[$%{<*\[]|^https?:|\w\(|\w\[|^[A-Za-z_]\w*+(?:\.[A-Za-z_]\w*+)++$|(?i)your|example|^x+$")),
         "quoted": flag(before.rlike("[\"']$")),
     }
     return F.struct(*(values[name].alias(name) for name in FEATURES))

@@ -4,6 +4,9 @@ A text is cut before white space that follows something else, and between a lett
 tokenizers used here never make a token across such a place, so the ids of the pieces, one after
 the other, are those of the text; a piece that occurs again costs a table lookup. Texts without
 such places are one piece of any length.
+
+A worker remembers the ids of short pieces only, in a fixed number of bytes; others are encoded each time.
+Null is an empty text, which has no ids.
 """
 
 from __future__ import annotations
@@ -18,8 +21,11 @@ from depotlake.llm.common import ragged_take, raw_texts
 
 # Distinct pieces handed to the library at once: bounds the size of its result objects.
 PIECES_AT_ONCE = 20_000
-# Pieces whose ids a worker remembers: about 200 bytes each.
-PIECES_KEPT = 400_000
+# What a worker remembers of pieces: short ones only, and about so many bytes of them in all.
+PIECE_BYTES = 48
+BYTES_KEPT = 80 << 20
+# An entry's key, place and arrays besides the bytes of the piece and of its ids.
+ENTRY_BYTES = 160
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -61,7 +67,7 @@ def _cuts(bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 
 class _Pieces:
-    """Ids of the pieces seen by this worker, up to ``PIECES_KEPT``; the rest is encoded each time."""
+    """Ids of the short pieces seen by this worker, up to ``BYTES_KEPT``; the rest is encoded each time."""
 
     def __init__(self, path: str):
         self.path = path
@@ -69,6 +75,7 @@ class _Pieces:
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
+        self.held = 0
 
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
@@ -83,6 +90,9 @@ class _Pieces:
         """All ids in one array, and the start and count of each piece's ids in it."""
         places = np.array([self.place.get(p, -1) for p in pieces], np.int64)
         missing = np.flatnonzero(places < 0)
+        # Short ones first, so that what is kept lies in front of what is used once.
+        sizes = np.array([len(pieces[i]) for i in missing.tolist()], np.int64)
+        missing, sizes = (x[np.argsort(sizes, kind="stable")] for x in (missing, sizes))
         new = [pieces[i] for i in missing.tolist()]
         ids, counts = self._encode(new)
         base = len(self.ids)
@@ -90,14 +100,16 @@ class _Pieces:
         starts = np.concatenate([self.starts, base + np.cumsum(counts) - counts])
         all_counts = np.concatenate([self.counts, counts])
         places[missing] = len(self.starts) + np.arange(len(missing))
-        room = max(PIECES_KEPT - len(self.place), 0)
-        if room and new:
-            kept = min(room, len(new))
+        total = self.held + np.cumsum(ENTRY_BYTES + sizes + 4 * counts)
+        kept = int(np.count_nonzero((sizes <= PIECE_BYTES) & (total <= BYTES_KEPT)))
+        if kept:
             end = int(counts[:kept].sum())
+            self.held = int(total[kept - 1])
             self.place.update(zip(new[:kept], range(len(self.starts), len(self.starts) + kept), strict=True))
-            self.ids = all_ids[: base + end]
-            self.starts = starts[: len(self.starts) + kept]
-            self.counts = all_counts[: len(self.counts) + kept]
+            # Copies, so that the ids of long pieces are not held by a view.
+            self.ids = all_ids[: base + end].copy()
+            self.starts = starts[: len(self.starts) + kept].copy()
+            self.counts = all_counts[: len(self.counts) + kept].copy()
         return all_ids, starts[places], all_counts[places]
 
 

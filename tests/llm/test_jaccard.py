@@ -60,6 +60,38 @@ def test_groups_equal_brute_force(spark, size, percent):
     assert found == brute(rows, size, percent)
 
 
+def small_words(chance, count=400):
+    """Few words, so buckets hold many components and bitmaps differ in every bit, the top one included."""
+    vocabulary = [f"w{k}" for k in range(60)]
+    bases = [[chance.choice(vocabulary) for _ in range(60)] for _ in range(12)]
+    for _ in range(count):
+        words = list(chance.choice(bases))
+        for _ in range(chance.randrange(4)):
+            words[chance.randrange(60)] = chance.choice(vocabulary)
+        yield " ".join(words[: chance.choice([60, 60, 58, 55])])
+
+
+@pytest.mark.parametrize("block_rows", [512, 3])
+def test_crowded_buckets_equal_brute_force(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
+    rows = list(enumerate(small_words(random.Random(7), 400 if block_rows > 3 else 150)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {tuple(r) for r in jaccard.near_duplicates(docs, jaccard.Rule(3, 90)).collect()}
+    assert found == brute(rows, 3, 90)
+
+
+def test_compare_counts_unsigned_bits():
+    """The top bit of a word set on one side only."""
+    np = jaccard.np
+    grams = np.arange(1, 58, dtype=np.uint64) + np.uint64(1 << 40)
+    one, other = np.append(grams, np.uint64(63)), np.append(grams, np.uint64(64))
+    maps = [jaccard.bitmap(np.unique(g)).tolist() for g in (one, other)]
+    held = jaccard.pa.table(
+        {"token": [1, 1], "i": [0, 0], "j": [0, 0], "node": [1, 2], "n": [58, 58], "place": [0, 0], "component": [1, 2], "bitmap": maps, "outsider": [True, False]}
+    )
+    assert jaccard._compare(held.to_batches(), jaccard.Rule(3, 90), False) == [(1, 2)]
+
+
 def test_corner_rows(corners, clashing, nothing):
     rows = jaccard.near_duplicates(corners, jaccard.Rule(5, 80)).collect()
     groups = {r.doc_id: r.component_id for r in rows}

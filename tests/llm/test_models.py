@@ -79,6 +79,46 @@ def test_what_is_assigned_to_a_secret_name_goes(spark, forest):
     assert [found[i] for i in range(len(found))] == [t for _, t in gone] + stay
 
 
+@pytest.mark.parametrize("length", [10, 3_000, 300_000])
+def test_runs_of_any_length(spark, forest, length):
+    """Runs of every class, of signs and of marks: found, judged and replaced without a frame per character."""
+    runs = ["aB3" * length, "&" * length, "<" * length, "." * length, "a." * length, "é" * length, "9" * length, "&a" * length, "A" * length, "x/" * length]
+    texts = [f"token={run[:length]} and" for run in runs] + [f'secret: "{run[:length]}" and' for run in runs]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scanned = {r.doc_id: r for r in secrets.scan(docs, forest).select("row.doc_id", "found.token", "redacted").collect()}
+    assert scanned[0].token == [runs[0][:length]] and scanned[10].token == [runs[0][:length]]
+    assert scanned[3].token == []  # marks alone are no run
+    assert scanned[13].token == [runs[3][:length]]
+    for i, text in enumerate(texts):
+        left = text
+        for token in scanned[i].token:
+            assert token in left
+            left = left.replace(token, secrets.REDACTED, 1)
+        assert scanned[i].redacted in (text, left)
+
+
+def test_run_ends_before_marks(spark, forest):
+    texts = ["token=ab1c.d..). x", "token=abc.. x", "token=a.;.b x", "token=ab1c&d=2 x", "token=ab1c&d x", "token=ab1c</b> x", "token=ab1<2c x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.token for r in secrets.scan(docs, forest).select("row.doc_id", "found.token").collect()}
+    assert [found[i] for i in range(7)] == [["ab1c.d"], [], ["a.;.b"], ["ab1c"], ["ab1c&d"], ["ab1c"], ["ab1<2c"]]
+
+
+def test_forest_votes_as_sparks_model(spark):
+    """The exported trees against Spark's own model on every example."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    examples = secrets.example_findings(spark, rows=1500)
+    seen = examples.select(secrets.features(F.col("token"), F.col("before"), F.col("after")).alias("f"), F.col("label").cast("double").alias("label"))
+    ready = VectorAssembler(inputCols=secrets.FEATURES, outputCol="seen").transform(seen.select("f", "f.*", "label"))
+    model = RandomForestClassifier(featuresCol="seen", labelCol="label", numTrees=9, maxDepth=4, seed=3).fit(ready)
+    exported = secrets.Forest(secrets._trees(model), 0.0)
+    votes = [lambda v, t=tree: t.predict(v) for tree in model.trees]
+    for row in ready.select("seen", exported.score(F.col("f")).alias("score")).limit(400).collect():
+        assert abs(sum(vote(row.seen) for vote in votes) / 9 - row.score) < 1e-12
+
+
 def test_recall_is_measured_from_text(spark, forest):
     recall, touched = secrets.through_scan(secrets.example_findings(spark, rows=1700, seed="texts"), forest)
     print("recall", recall, "touched", touched)

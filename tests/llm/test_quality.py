@@ -82,3 +82,45 @@ def test_corner_rows(spark, corners, clashing, nothing):
     assert quality.judge(quality.measure(nothing), labels).count() == 0
     none = labels.where("false")
     assert all(r.kept != r.base_failed for r in quality.judge(quality.measure(corners), none).collect())
+
+
+def test_repeating_labels_changes_nothing(spark):
+    docs = spark.createDataFrame([(i, prose(60, i), "en") for i in range(40)], "doc_id long, text string, lang string")
+    once = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    certified = lambda docs, labels: {r.certified for r in quality.judge(quality.measure(docs), labels).collect()}
+    assert certified(docs, once) == certified(docs, once.union(once).union(once)) == certified(docs.union(docs), once) == {0}
+    # A document with both labels is not good and counts for nothing.
+    many = docs.union(spark.createDataFrame([(i, prose(60, i), "en") for i in range(40, 70)], docs.schema))
+    good = spark.createDataFrame([(i, 1) for i in range(70)], "doc_id long, quality int")
+    denied = spark.createDataFrame([(i, 0) for i in range(30)] + [(5, None)], "doc_id long, quality int")
+    assert certified(many, good) == {quality.LEVELS} and certified(many, good.union(denied)) == {0}
+
+
+def test_kept_equals_brute_force(spark):
+    """Whole: levels from the counts, exact tails on one label per document, and the climb."""
+    chance = __import__("random").Random(5)
+    texts = []
+    for i in range(260):
+        words = prose(60, i).split()
+        share = chance.random() * 0.5
+        texts.append((i, " ".join(w + "#%" if chance.random() < share and i % 3 == 0 else w for w in words), ("en", "fr", None)[i % 7 % 3]))
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = [(i, int(chance.random() < 0.8)) for i in range(260) for _ in range(1 + i % 2)]
+    found = {r.doc_id: r for r in quality.judge(quality.measure(docs), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    good = {i for i, _ in labels if all(q == 1 for j, q in labels if j == i)}
+    strata = {i: found[i].stratum for i in found}
+    names = {strata[i] for i in good if not found[i].base_failed}
+    for s in names:
+        levels = [found[i].level for i in good if strata[i] == s and not found[i].base_failed]
+        n, certified = len(levels), 0
+        for x in range(1, quality.LEVELS + 1):
+            k = sum(v <= x for v in levels)
+            tail = math.fsum(math.comb(n, i) * 0.05**i * 0.95 ** (n - i) for i in range(k + 1))
+            if tail > 0.05 / len(names):
+                break
+            certified = x
+        assert all(found[i].certified == certified for i in found if strata[i] == s)
+    for i, text, _ in texts:
+        n, _, _, _, covered = brute(text)
+        base = n < 10 or 100 * covered > 20 * n
+        assert found[i].base_failed == base and found[i].kept == (not base and found[i].level > found[i].certified)

@@ -33,13 +33,15 @@ def test_special_tokens_nulls_and_sliced_columns():
 
 
 def test_the_memory_for_pieces_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "PIECES_KEPT", 3)
+    monkeypatch.setattr(tokens, "BYTES_KEPT", 3 * (tokens.ENTRY_BYTES + 10))
     known = tokens._Pieces(BYTE)
-    for texts in ([b" a", b" b"], [b" c", b" d", b" a"], [b" d", b" e"]):
+    long = "中文" * 5_000
+    for texts in ([b" a", long.encode(), b" b"], [b" c", b" d", b" a"], [b" d", long.encode(), b" e"]):
         ids, starts, counts = known.lookup(texts)
         found = [ids[s : s + n].tolist() for s, n in zip(starts, counts, strict=True)]
         assert found == pieces_by_library([t.decode() for t in texts], BYTE)
-    assert len(known.place) == 3
+    assert len(known.place) == 3 and long.encode() not in known.place
+    assert known.held <= tokens.BYTES_KEPT and known.ids.nbytes < 100
 
 
 def test_packing_holds_every_id_once_without_padding(spark, corners, corner_rows):
