@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from depotlake.config import scratch_dir
 
@@ -52,7 +53,7 @@ def give_back() -> None:
         return
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
 

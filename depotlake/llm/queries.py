@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
-from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, secrets
+from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, runs, secrets
 from depotlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +157,34 @@ def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _identified(langid.identify(pages, F.col("declared"), **where, carry=["page_id"]), "page_id")
 
 
+def periodic_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a periodic tail in every tenth document: from a place on, a first part comes again and again."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + k % period] for k in range(n - start)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.scan(documents, periodic_words, carry=["doc_id"]).withColumn("best", runs.best_run(F.col("runs")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))
+    lines = F.array_join(F.transform("runs", line), "")
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_grammar_tokens": op2_grammar_tokens,
@@ -167,5 +196,6 @@ QUERIES: dict[str, Query] = {
     "op8_secret_forest": op8_secret_forest,
     "op9_chat_format": op9_chat_format,
     "op10_language_evidence": op10_language_evidence,
+    "op12_periodic_runs": op12_periodic_runs,
     "pages_language": pages_language,
 }
