@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
-from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, runs, secrets
+from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, runs, secrets, spelling
 from depotlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +185,22 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt(doc_id: int | None, word: str) -> str:
+    """The word, in one of 31 cases without one of its code points."""
+    if doc_id is None:
+        return word
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    if h % 31:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(documents, edit=misspelt).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_grammar_tokens": op2_grammar_tokens,
@@ -197,5 +213,6 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_language_evidence": op10_language_evidence,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
     "pages_language": pages_language,
 }
