@@ -81,8 +81,20 @@ SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_char
 FROM c JOIN states USING (conv_id)
 """
 
+OP11 = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+last AS (SELECT payload_digest, max(page_id) AS latest FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN latest IS NOT NULL AND page_id IS DISTINCT FROM latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+FROM p LEFT JOIN last USING (payload_digest)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_prefix_join": OP4,
     "op7_decontamination": OP7,
     "op9_chat_format": OP9,
+    "op11_warc_source": OP11,
 }

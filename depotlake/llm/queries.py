@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.config import scratch_dir
-from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, runs, secrets, spelling
+from depotlake.llm import chat, decontam, grammar, jaccard, langid, licences, packing, quality, reshard, runs, secrets, spelling, warc
 from depotlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,19 @@ def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _identified(langid.identify(pages, F.col("declared"), **where, carry=["page_id"]), "page_id")
 
 
+def op11_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and digests of responses are those of the payloads as read, those of revisits come from their headers."""
+    found = warc.archive_pages(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    whole = F.col("record_type") == "response"
+    return found.select(
+        warc.page_id(F.col("record_id")).alias("page_id"),
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(whole, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def periodic_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words with a periodic tail in every tenth document: from a place on, a first part comes again and again."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
@@ -212,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_forest": op8_secret_forest,
     "op9_chat_format": op9_chat_format,
     "op10_language_evidence": op10_language_evidence,
+    "op11_warc_source": op11_warc_source,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_spelling_variants": op13_spelling_variants,
     "pages_language": pages_language,
