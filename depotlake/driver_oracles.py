@@ -340,6 +340,14 @@ def oracle_sql() -> dict[str, str]:
                       CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id
                FROM sales_raw""",
         ),
+        "ingest_quoted_breaks": using(
+            ("sales_raw",),
+            """SELECT order_id, product_id, CAST(quantity_sold AS VARCHAR) AS quantity_sold,
+                      CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id,
+                      'said "' || product_id || '",' || chr(10) || 'then' || chr(10) || chr(10)
+                          || coalesce(order_id, '"') AS note
+               FROM sales_raw""",
+        ),
         "archive_batch": using(
             ("sales_raw",),
             """SELECT order_id, product_id, CAST(quantity_sold AS VARCHAR) AS quantity_sold,

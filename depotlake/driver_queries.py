@@ -9,9 +9,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from depotlake import adapters, schemas
-from depotlake.config import apply_settings, scratch_dir
+from depotlake.config import apply_settings, conf, scratch_dir
 from depotlake.operators import (
     completeness_counts,
     expected_files,
@@ -382,6 +383,20 @@ def ingest_by_header(spark, sf):
     return read_csv_by_name(spark, halves, schemas.SALES_CSV)
 
 
+def ingest_quoted_breaks(spark, sf):
+    """A landed file of notes over several lines, whose splits end inside of its records."""
+    landing, bronze_root = scratch_dir(spark, "landing"), scratch_dir(spark, "bronze")
+    raw = adapters.sales_raw(spark, sf)
+    note = F.concat(F.lit('said "'), "product_id", F.lit('",\nthen\n\n'), F.coalesce("order_id", F.lit('"')))
+    lifecycle.write_quoted_csv(raw.withColumn("note", note), f"{landing}/salesorder_{AS_OF:%Y%m%d}.csv")
+    mapping = spark.createDataFrame([("salesorder_", "salesorder")], schemas.FILE_MAPPING)
+    # So small that the files of any scale have many splits.
+    with conf(spark, spark__sql__files__maxPartitionBytes="256k"):
+        written = lifecycle.ingest_landing(spark, landing, mapping, AS_OF, bronze_root)
+    noted = StructType([*schemas.SALES_CSV, StructField("note", StringType())])
+    return read_csv_by_name(spark, list(written.values()), noted)
+
+
 def archive_batch(spark, sf):
     """The day's landed file and one that no mapping names, copied and then deleted."""
     landing, dest = scratch_dir(spark, "landing"), scratch_dir(spark, "archive")
@@ -498,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "file_completeness_counts": file_completeness_counts,
     "ingest_roundtrip": ingest_roundtrip,
     "ingest_by_header": ingest_by_header,
+    "ingest_quoted_breaks": ingest_quoted_breaks,
     "archive_batch": archive_batch,
     "publish_counts": publish_counts,
     "archive_events": archive_events,

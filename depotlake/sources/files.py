@@ -10,22 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from depotlake.config import scratch_dir
 from depotlake.schemas import FILE_MAPPING
+from depotlake.sources.quoted import read_quoted_csv
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = True, at: str | None = None) -> DataFrame:
     """One delimited file with a header, or a folder of its parts; every column stays text.
 
-    A quoted value may hold line breaks, for which a file is read as a whole by one task.
-    ``multiline=False`` lets Spark split large files that are known to have none.
+    A quoted value may hold line breaks. Spark reads a file with such values in one task, so files larger than
+    a split are cut at the true ends of their records first, which is staged in the folder ``at`` (else a
+    new scratch folder). ``multiline=False`` reads files that are known to have no such values in one pass.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", "\\")
         .option("multiLine", multiline)
-        .csv(path)
     )
+    found = reader.csv(path)
+    if not multiline or not _has_large_files(spark, path):
+        return found
+    return read_quoted_csv(spark, path, found.columns, at or scratch_dir(spark, "quoted"))
+
+
+def _has_large_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file is larger than a split and can be cut."""
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    large = list_files(spark, path).where(F.col("length") > split)
+    return not large.where(~F.lower("path").rlike(r"\.(gz|zst|zstd|lz4|snappy|deflate)$")).isEmpty()
 
 
 def read_csv_by_name(
@@ -33,6 +46,7 @@ def read_csv_by_name(
     path: str | list[str],
     schema: StructType,
     optional: Sequence[str] = (),
+    multiline: bool = True,
 ) -> DataFrame:
     """Delimited files bound to ``schema`` by header name, not by position.
 
@@ -42,8 +56,8 @@ def read_csv_by_name(
     type become null.
     """
     if not isinstance(path, str):
-        return reduce(DataFrame.unionByName, (read_csv_by_name(spark, p, schema, optional) for p in path))
-    raw = read_csv_text(spark, path)
+        return reduce(DataFrame.unionByName, (read_csv_by_name(spark, p, schema, optional, multiline) for p in path))
+    raw = read_csv_text(spark, path, multiline)
     missing = [f.name for f in schema if f.name not in raw.columns and f.name not in optional]
     if missing:
         raise ValueError(f"{path}: missing required columns {missing}, found {raw.columns}")

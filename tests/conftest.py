@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("depotlake-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
