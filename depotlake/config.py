@@ -112,6 +112,14 @@ class Layout:
     def silver_shipments(self) -> str:
         return f"{self.root}/silver/streaming/shipments"
 
+    @property
+    def late_shipments(self) -> str:
+        return f"{self.root}/silver/streaming/late_shipments"
+
+    @property
+    def stream_progress(self) -> str:
+        return f"{self.root}/monitoring/stream_progress"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/silver/quarantine"

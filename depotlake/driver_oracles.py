@@ -139,7 +139,7 @@ FACT_SHIPMENTS = using((*SHIPMENTS, "shipment_facts"), "SELECT * FROM shipment_f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "silver_inventory": using(INVENTORY, f"SELECT *, {AUDIT} FROM inventory"),
         "silver_inventory_text_dates": using(
             ("inventory_raw", "inventory_kept"),
@@ -309,6 +309,40 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedup_first": using(SHIPMENTS, "SELECT DISTINCT shipment_id FROM valid"),
         "stream_dedup_within_watermark": using(SHIPMENTS, "SELECT DISTINCT shipment_id FROM valid"),
         "stream_latest_state": using(SHIPMENTS, LATEST_SHIPMENT.format(events="valid")),
+        "stream_latest_table": using(SHIPMENTS, LATEST_SHIPMENT.format(events="valid")),
+        "stream_late_rows": """
+            WITH valid AS (
+                SELECT concat('SH', 4 * event_id) AS shipment_id, ts, event_id % 3 AS step FROM events WHERE user_id % 37 <> 0),
+            marks AS (
+                SELECT s.step, max(date_trunc('millisecond', ts)) - INTERVAL 5 MINUTE AS watermark
+                FROM (VALUES (0), (1), (2)) AS s(step) LEFT JOIN valid ON valid.step < s.step GROUP BY s.step)
+            SELECT shipment_id, ts AS "timestamp", coalesce(ts <= watermark, false) AS is_late
+            FROM valid JOIN marks USING (step)""",
+        "stream_dedup_returning": """
+            WITH came AS (
+                SELECT concat('SH', event_id - event_id % 4) AS shipment_id, (event_id // 4) % 20 AS hour,
+                       bool_or(event_id % 4 = 0 AND user_id % 37 <> 0) AS v0,
+                       bool_or(event_id % 4 = 1 AND user_id % 37 <> 0) AS v1,
+                       bool_or(event_id % 4 >= 2 AND user_id % 37 <> 0) AS v2
+                FROM events GROUP BY ALL),
+            -- The watermark passes all but the last hour of a day before the next day comes.
+            kept AS (
+                SELECT shipment_id, v0 AS e0, v1 AND (hour < 19 OR NOT v0) AS e1,
+                       v2 AND (hour < 19 OR NOT (v1 AND NOT v0)) AS e2, v0, v1, v2
+                FROM came)
+            SELECT 'first' AS mode, shipment_id, CASE WHEN v0 THEN 0 WHEN v1 THEN 1 ELSE 2 END AS step
+            FROM kept WHERE v0 OR v1 OR v2
+            UNION ALL SELECT 'within_watermark', shipment_id, 0 FROM kept WHERE e0
+            UNION ALL SELECT 'within_watermark', shipment_id, 1 FROM kept WHERE e1
+            UNION ALL SELECT 'within_watermark', shipment_id, 2 FROM kept WHERE e2""",
+        "stream_progress_totals": """
+            SELECT 'bronze_in_steps' AS name, count(*) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped_late,
+                   true AS beyond_memory
+            FROM events""",
+        "bronze_lineage": using(
+            ("shipments_raw", "bronze"),
+            """SELECT shipment_id, "timestamp", strftime("timestamp", '%Y%m%d') AS source_day FROM bronze""",
+        ),
         "stream_report": """
             SELECT 'shipments_bronze' AS name, false AS is_active, count(*) AS recent_input_rows,
                    CAST(0 AS BIGINT) AS recent_rows_dropped_late
@@ -386,3 +420,6 @@ def oracle_sql() -> dict[str, str]:
                       true""",
         ),
     }
+    # The same rows, kept up by micro-batches.
+    found["stream_snapshot"] = found["supplychain_snapshot"]
+    return found

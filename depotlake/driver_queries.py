@@ -35,13 +35,20 @@ from depotlake.sinks import (
     replace_table,
     upsert_table,
 )
-from depotlake.sources import list_files, read_csv_by_name, read_file_mapping
+from depotlake.sources import list_files, make_folder, read_csv_by_name, read_file_mapping, read_table_stream
 from depotlake.streaming import (
+    ProgressTable,
     bronze_shipments,
+    keep_late_rows,
     latest_state,
     latest_state_stream,
+    latest_table_stream,
+    progress_totals,
+    read_derived,
+    read_latest,
     run_stream,
     silver_shipments_stream,
+    snapshot_stream,
     stream_report,
 )
 
@@ -336,6 +343,109 @@ def stream_latest_state(spark, sf):
     return _without_lineage(latest_state(spark, out, schemas.SILVER_SHIPMENTS))
 
 
+def _in_steps(spark: SparkSession, steps: list[DataFrame], start) -> None:
+    """Land one step after the other and run the stream after each, so micro-batches follow their order."""
+    landing, schema = scratch_dir(spark, "steps"), steps[0].schema
+    make_folder(spark, landing)
+    for step in steps:
+        step.write.mode("append").parquet(landing)
+        _finished(start(read_table_stream(spark, landing, schema)))
+
+
+def _arriving(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The bronze events in four steps, in which the events of a shipment come in another order than they happened."""
+    events = adapters.load(spark, sf, "events")
+    steps = [adapters.shipments_of(events.where(F.col("event_id") % 4 == k)) for k in (2, 0, 3, 1)]
+    return [bronze_of(step) for step in steps]
+
+
+def stream_latest_table(spark, sf):
+    """One row per shipment at rest after four micro-batches with events out of order."""
+    out, checkpoint = scratch_dir(spark, "latest-table"), scratch_dir(spark, "checkpoint")
+
+    def start(bronze_rows):
+        return latest_table_stream(silver_shipments_stream(bronze_rows, "none", run_ts=RUN_TS), out, checkpoint)
+
+    _in_steps(spark, _arriving(spark, sf), start)
+    return _without_lineage(read_latest(spark, out, schemas.SILVER_SHIPMENTS))
+
+
+def stream_late_rows(spark, sf):
+    """Events that come after the watermark has passed them, beside those that were kept: all of them."""
+    events = adapters.load(spark, sf, "events")
+
+    def step(k: int) -> DataFrame:
+        # Each event is a shipment of its own here.
+        part = events.where(F.col("event_id") % 3 == k)
+        return bronze_of(adapters.shipments_of(part.withColumn("event_id", F.col("event_id") * 4)))
+
+    out, late, checkpoint = (scratch_dir(spark, name) for name in ("kept", "late", "checkpoint"))
+    _in_steps(spark, [step(k) for k in range(3)], lambda rows: run_stream(silver_shipments_stream(rows, "first"), out, checkpoint))
+    schema = step(0).schema
+    keep_late_rows(spark, checkpoint, late, lambda files: silver.valid_shipments(spark.read.schema(schema).parquet(*files)))
+    kept = spark.read.schema(schemas.SILVER_SHIPMENTS).parquet(out)
+    dropped = spark.read.schema(schema).parquet(late)
+    one = lambda rows, is_late: rows.select("shipment_id", "timestamp", F.lit(is_late).alias("is_late"))
+    return adapters.as_ntz(one(kept, False).unionByName(one(dropped, True)))
+
+
+def stream_dedup_returning(spark, sf):
+    """What both modes keep of shipments that come again a day later, after the watermark has passed most of them."""
+    events = adapters.load(spark, sf, "events")
+
+    def step(k: int) -> DataFrame:
+        part = events.where(F.least(F.col("event_id") % 4, F.lit(2)) == k)
+        hour = F.expr("make_dt_interval(0, cast(div(event_id, 4) % 20 AS INT))")
+        return bronze_of(adapters.shipments_of(part.withColumn("ts", F.lit(datetime(2024, 1, 1 + k)) + hour)))
+
+    found = []
+    for mode in ("first", "within_watermark"):
+        out, checkpoint = scratch_dir(spark, f"returning-{mode}"), scratch_dir(spark, "checkpoint")
+        _in_steps(spark, [step(k) for k in range(3)], lambda rows: run_stream(silver_shipments_stream(rows, mode), out, checkpoint))  # noqa: B023
+        kept = spark.read.schema(schemas.SILVER_SHIPMENTS).parquet(out)
+        found.append(kept.select(F.lit(mode).alias("mode"), "shipment_id", (F.dayofmonth("timestamp") - 1).alias("step")))
+    return found[0].unionByName(found[1])
+
+
+def stream_progress_totals(spark, sf):
+    """The rows of all micro-batches of a stream of which Spark itself remembers two."""
+    path, out = scratch_dir(spark, "progress"), scratch_dir(spark, "bronze")
+    landing = landing_folder(spark, sf)
+    # About seven micro-batches, whatever the number of files.
+    files = -(-list_files(spark, landing, "*.json").count() // 7)
+    progress = ProgressTable(spark, path)
+    spark.streams.addListener(progress)
+    with conf(spark, spark__sql__streaming__numRecentProgressUpdates="2"):
+        rows = bronze_shipments(spark, landing, multiline=False, max_files=files, run_ts=RUN_TS)
+        query = _finished(run_stream(rows, out, scratch_dir(spark, "checkpoint"), name="bronze_in_steps"))
+    progress.wait_for(query)
+    spark.streams.removeListener(progress)
+    totals = progress_totals(spark, path)
+    return totals.select("name", "input_rows", "rows_dropped_late", (F.col("batches") > 2).alias("beyond_memory"))
+
+
+def bronze_lineage(spark, sf):
+    """The file each bronze row came from: its dated folder."""
+    out, _ = _bronze_stream(spark, sf)
+    day = F.regexp_extract("source_file", "/day=([0-9]{8})/[^/]+$", 1)
+    return adapters.as_ntz(spark.read.schema(schemas.BRONZE_SHIPMENTS).parquet(out).select("shipment_id", "timestamp", day.alias("source_day")))
+
+
+def stream_snapshot(spark, sf):
+    """The snapshot kept up by joining each micro-batch's shipments with the stock of the day."""
+    stock = staged(inventory(spark, sf), "inventory")
+    facts = staged(gold.fact_inventory_daily(stock, AS_OF), "stock")
+    products = staged(gold.product_source(stock, AS_OF), "products")
+    out, snapshot, checkpoint = (scratch_dir(spark, name) for name in ("latest", "snapshot", "checkpoint"))
+
+    def start(bronze_rows):
+        rows = silver_shipments_stream(bronze_rows, "none", run_ts=RUN_TS)
+        return snapshot_stream(rows, facts, products, AS_OF, out, snapshot, checkpoint)
+
+    _in_steps(spark, _arriving(spark, sf), start)
+    return adapters.as_ntz(read_derived(spark, snapshot, schemas.SUPPLYCHAIN_SNAPSHOT.schema))
+
+
 # --- files -------------------------------------------------------------------------------
 
 
@@ -508,6 +618,12 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_first": stream_dedup_first,
     "stream_dedup_within_watermark": stream_dedup_within_watermark,
     "stream_latest_state": stream_latest_state,
+    "stream_latest_table": stream_latest_table,
+    "stream_late_rows": stream_late_rows,
+    "stream_dedup_returning": stream_dedup_returning,
+    "stream_progress_totals": stream_progress_totals,
+    "stream_snapshot": stream_snapshot,
+    "bronze_lineage": bronze_lineage,
     "stream_report": stream_report_bronze,
     "file_completeness": file_completeness_by_name,
     "file_completeness_counts": file_completeness_counts,

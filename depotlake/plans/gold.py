@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from depotlake.operators.grid import CELL_ROWS, grid_join
 from depotlake.operators.latest import latest_by
 from depotlake.operators.merge import upsert
 from depotlake.operators.quality import run_time
+from depotlake.plans.silver import LATEST_ORDER, SHIPMENT_KEYS
 from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE
 
 # Fixed values of the gold tables.
@@ -93,15 +94,19 @@ def fact_sales_daily(sales: DataFrame) -> DataFrame:
 
 
 def fact_shipments(
-    shipments: DataFrame, as_of: date, keep_days: int = KEEP_DAYS, recent_at: datetime | None = None
+    shipments: DataFrame,
+    as_of: date,
+    keep_days: int = KEEP_DAYS,
+    recent_at: datetime | None = None,
+    order_by: Sequence[str] = LATEST_ORDER,
 ) -> DataFrame:
-    """The last ingested state of each shipment, if it is recent enough.
+    """The latest state of each shipment, if it is recent enough.
 
-    The age is checked after the choice: a shipment whose last state is too old is left out,
+    The latest is the one silver keeps; ``order_by=["ingestion_time"]`` takes the last ingested. The age is checked after the choice: a shipment whose last state is too old is left out,
     an older state must not take its place. ``is_recent`` is the flag silver stored when it
     saw the event, unless ``recent_at`` asks for it at another time.
     """
-    latest = latest_by(shipments, ["shipment_id"], ["ingestion_time"])
+    latest = latest_by(shipments, SHIPMENT_KEYS, order_by)
     if recent_at is not None:
         latest = latest.withColumn("is_recent", is_recent(F.col("timestamp"), run_time(recent_at)))
     return latest.filter(

@@ -32,6 +32,8 @@ STREAM_SOURCE = "TMS_live"
 INVENTORY_KEYS = ("product_id", "warehouse_id")
 SALES_KEYS = ("order_id", "product_id", "warehouse_id")
 SHIPMENT_KEYS = ("shipment_id",)
+# The one rule for the latest event of a shipment, in the stream, in silver and in gold.
+LATEST_ORDER = ("timestamp", "ingestion_time")
 
 BLANK_LINE = "blank line"
 UNPARSED_DATE = "unparsed date"
@@ -218,9 +220,8 @@ def silver_shipments(
     Rows with an invalid key are left out before the choice, so they cannot hide a valid
     event; ``parity=True`` chooses first, as the streaming job of old did.
     """
-    order = ["timestamp", "ingestion_time"]
     if parity:
-        kept = valid_shipments(latest_by(bronze, SHIPMENT_KEYS, order))
+        kept = valid_shipments(latest_by(bronze, SHIPMENT_KEYS, LATEST_ORDER))
     else:
-        kept = latest_by(valid_shipments(bronze), SHIPMENT_KEYS, order)
+        kept = latest_by(valid_shipments(bronze), SHIPMENT_KEYS, LATEST_ORDER)
     return describe_shipments(kept, run_ts)

@@ -119,6 +119,22 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly in a folder; none if it is not there."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a few bytes from the driver, replacing the file."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _hadoop_path(spark, path)
     fs.mkdirs(hadoop_path)

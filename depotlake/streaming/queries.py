@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from depotlake.config import ROCKSDB, conf
 from depotlake.operators.latest import latest_by
 from depotlake.plans.silver import (
+    LATEST_ORDER,
     SHIPMENT_KEYS,
     STREAM_SOURCE,
     describe_shipments,
@@ -26,7 +27,6 @@ from depotlake.sources.files import delete_paths, list_files, path_exists
 
 # Fixed value: how late an event may be.
 WATERMARK = "5 minutes"
-LATEST_ORDER = ("timestamp", "ingestion_time")
 
 
 def run_stream(

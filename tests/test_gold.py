@@ -110,18 +110,19 @@ def test_fact_shipments_checks_the_age_after_the_choice(spark):
         return datetime(2025, 8, 31) - timedelta(days=n)
 
     now = datetime(2025, 8, 31, 6)
-    facts = gold.fact_shipments(
-        shipments(
-            spark,
-            ("S1", "WH1", "Delayed", days(90), now),  # exactly 90 days
-            ("S2", "WH1", "Delayed", days(91), now),  # too old
-            ("S3", "WH1", "Delayed", days(1), now - timedelta(hours=1)),
-            ("S3", "WH1", "Delivered", days(100), now),  # ingested last, too old: hides the other
-            ("S4", "WH1", "In Transit", None, now),
-        ),
-        AS_OF,
+    states = shipments(
+        spark,
+        ("S1", "WH1", "Delayed", days(90), now),  # exactly 90 days
+        ("S2", "WH1", "Delayed", days(91), now),  # too old
+        ("S3", "WH1", "Delayed", days(1), now - timedelta(hours=1)),
+        ("S3", "WH1", "Delivered", days(100), now),  # ingested last, too old: hides the other
+        ("S4", "WH1", "In Transit", None, now),
     )
+    facts = gold.fact_shipments(states, AS_OF, order_by=["ingestion_time"])
     assert rows(facts.select("shipment_id", "event_date")) == [("S1", date(2025, 6, 2))]
+    # By event time, as silver keeps it, the late word of an old event hides nothing.
+    facts = gold.fact_shipments(states, AS_OF)
+    assert rows(facts.select("shipment_id", "event_date")) == [("S1", date(2025, 6, 2)), ("S3", date(2025, 8, 30))]
 
 
 def test_fact_shipments_recency_is_stored_or_asked_for(spark):
