@@ -112,6 +112,10 @@ class Layout:
     def silver_shipments(self) -> str:
         return f"{self.root}/silver/streaming/shipments"
 
+    @property
+    def sales_state(self) -> str:
+        return f"{self.root}/silver/batch/sales_state"
+
     @property
     def late_shipments(self) -> str:
         return f"{self.root}/silver/streaming/late_shipments"

@@ -205,6 +205,25 @@ def oracle_sql() -> dict[str, str]:
                ON t.warehouse_id = s.warehouse_id AND t.product_id = s.product_id
                   AND t.sale_date = s.sale_date""",
         ),
+        "sales_incremental": using(
+            SALES,
+            """SELECT warehouse_id, product_id, sale_date, CAST(sum(quantity_sold) AS BIGINT) AS qty_sold
+               FROM (SELECT *, row_number() OVER (
+                         PARTITION BY order_id, product_id, warehouse_id
+                         ORDER BY sale_date DESC NULLS LAST, quantity_sold DESC NULLS LAST) AS rn
+                     FROM (SELECT order_id, product_id, warehouse_id, sale_date, quantity_sold FROM folded
+                           UNION ALL
+                           SELECT order_id, product_id, warehouse_id, sale_date, quantity_sold + 7 FROM folded
+                           WHERE CAST(substr(order_id, 4) AS BIGINT) % 5 = 0
+                           UNION ALL
+                           SELECT order_id, product_id, warehouse_id, sale_date + 3, quantity_sold FROM folded
+                           WHERE CAST(substr(order_id, 4) AS BIGINT) % 7 = 0))
+               WHERE rn = 1 AND sale_date IS NOT NULL GROUP BY warehouse_id, product_id, sale_date""",
+            folded="""
+                SELECT order_id, product_id, warehouse_id, quantity_sold,
+                       DATE '1998-01-01' + CAST(dayofyear(sale_date) % 21 AS INTEGER) AS sale_date
+                FROM sales""",
+        ),
         "dim_product_scd1": using(
             INVENTORY,
             """SELECT coalesce(t.product_id, s.product_id) AS product_id,
@@ -396,6 +415,18 @@ def oracle_sql() -> dict[str, str]:
                FROM (VALUES ('fact_shipments'), ('fact_shipments csv'), ('fact_shipments parquet')) AS t(layer)
                UNION ALL SELECT 'acknowledged', 1""",
         ),
+        "publish_incremental": using(
+            (*SHIPMENTS, "per_day"),
+            """SELECT 'publication ' || k || ' fact_shipments' || copy AS what,
+                      count(*) FILTER (WHERE k < 2 OR event_date <> DATE '2024-01-05') AS row_count,
+                      CASE k WHEN 0 THEN count(DISTINCT event_date) WHEN 1 THEN 0
+                           ELSE count(DISTINCT CASE WHEN event_date = DATE '2024-01-12' THEN event_date END) END AS parts_written
+               FROM per_day, (VALUES (0), (1), (2)) AS t(k), (VALUES (''), (' csv'), (' parquet')) AS c(copy) GROUP BY k, copy
+               UNION ALL
+               SELECT fmt || ' ' || event_date, count(*), CAST(sum(CASE WHEN event_date = DATE '2024-01-12' THEN 1 ELSE 0 END) AS BIGINT)
+               FROM per_day, (VALUES ('csv'), ('parquet')) AS t(fmt)
+               WHERE event_date <> DATE '2024-01-05' GROUP BY fmt, event_date""",
+        ),
         "archive_events": """
             SELECT CAST(ts AS DATE) AS ingest_date, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time
             FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-15' - 3""",
@@ -420,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
                       true""",
         ),
     }
+    found["reconcile_recount"] = found["reconcile"]
     # The same rows, kept up by micro-batches.
     found["stream_snapshot"] = found["supplychain_snapshot"]
     return found

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from depotlake import adapters, schemas
-from depotlake.config import apply_settings, conf, scratch_dir
+from depotlake.config import Layout, apply_settings, conf, scratch_dir
 from depotlake.operators import (
     completeness_counts,
     expected_files,
@@ -22,13 +22,14 @@ from depotlake.operators import (
     upsert,
 )
 from depotlake.operators import grid
-from depotlake.plans import gold, lifecycle, silver
+from depotlake.plans import gold, increments, lifecycle, run, silver
 from depotlake.sinks import (
     apply_retention,
     ensure_tables,
     export,
     load_serving,
     publish,
+    publish_changed,
     read_export,
     replace_partition,
     replace_partitions,
@@ -191,6 +192,21 @@ def sales_upsert(spark, sf):
     return upsert(target, source, schemas.FACT_SALES_DAILY.keys, update_cols=["qty_sold"])
 
 
+def sales_incremental(spark, sf):
+    """Daily sales after a late correction of quantities and days that comes twice, by differences only."""
+    table = schemas.FACT_SALES_DAILY
+    db, state = scratch_db(spark, (table,)), scratch_dir(spark, "sales-state")
+    # Folded into three weeks, as a daily job's lines lie in few days.
+    folded = F.date_add(F.lit(date(1998, 1, 1)), F.dayofyear("sale_date") % 21)
+    lines = staged(sales(spark, sf).withColumn("sale_date", folded), "sales")
+    number = F.substring("order_id", 4, 20).cast("long")
+    more = lines.filter(number % 5 == 0).withColumn("quantity_sold", F.col("quantity_sold") + 7)
+    later = lines.filter(number % 7 == 0).withColumn("sale_date", F.date_add("sale_date", 3))
+    for step in (lines, more.unionByName(later), more):
+        increments.merge_sales(spark, step, db, state)
+    return spark.table(f"{db}.{table.name}")
+
+
 def dim_product_scd1(spark, sf):
     table = schemas.DIM_PRODUCT
     db = scratch_db(spark, (table,))
@@ -534,6 +550,30 @@ def publish_counts(spark, sf):
     return counts.unionByName(said)
 
 
+def publish_incremental(spark, sf):
+    """Two publications with one day restated and one gone between them: what each wrote, and what lies there."""
+    table = schemas.FACT_SHIPMENTS
+    db, out = scratch_db(spark, (table,)), scratch_dir(spark, "published")
+    facts = staged(_per_day(shipments(spark, sf)), "facts")
+    replace_partitions(facts, db, table)
+    reports = [publish_changed(spark, db, out, (table,)), publish_changed(spark, db, out, (table,))]
+    restated = facts.filter(F.col("event_date") == date(2024, 1, 12)).withColumn("delay_reason", F.lit("Restated"))
+    replace_partitions(restated, db, table)
+    spark.sql(f"ALTER TABLE {db}.{table.name} DROP IF EXISTS PARTITION (event_date = DATE '2024-01-05')")
+    reports.append(publish_changed(spark, db, out, (table,)))
+    written = [
+        r.select(F.concat_ws(" ", F.lit(f"publication {k}"), "layer").alias("what"), "row_count", "parts_written")
+        for k, r in enumerate(reports)
+    ]
+    left = [
+        read_export(spark, f"{out}/{folder}", fmt, table)
+        .groupBy(F.concat_ws(" ", F.lit(fmt), F.col("event_date").cast("string")).alias("what"))
+        .agg(F.count("*").alias("row_count"), F.count_if(F.col("delay_reason") == "Restated").alias("parts_written"))
+        for fmt, folder in (("csv", f"tables/{table.name}"), ("parquet", f"{table.name}_parquet"))
+    ]
+    return reduce(DataFrame.unionByName, written + left)
+
+
 def archive_events(spark, sf):
     dest = scratch_dir(spark, "archive")
     lifecycle.archive_events(spark, landing_folder(spark, sf), dest, date(2024, 1, 15), multiline=False)
@@ -567,6 +607,14 @@ def serving_load(spark, sf):
 
 
 def reconcile_layers(spark, sf):
+    """The balance of both silver writes, taken while they run: one scan of the raw rows of each."""
+    layout = Layout(scratch_dir(spark, "lake"))
+    stock = run.write_inventory(adapters.inventory_raw(spark, sf), layout, RUN_TS)
+    return stock.unionByName(run.write_sales(adapters.sales_raw(spark, sf), layout, RUN_TS))
+
+
+def reconcile_recount(spark, sf):
+    """The same balance counted again from all rows, as it is settled where the first looks wrong."""
     stock, lines = adapters.inventory_raw(spark, sf), adapters.sales_raw(spark, sf)
     kept_stock, _ = silver.split_inventory(stock)
     kept_lines, _ = silver.split_sales(lines)
@@ -605,6 +653,7 @@ QUERIES: dict[str, Query] = {
     "low_stock_topk": low_stock_topk,
     "fact_sales_daily": fact_sales_daily,
     "sales_upsert": sales_upsert,
+    "sales_incremental": sales_incremental,
     "dim_product_scd1": dim_product_scd1,
     "dim_warehouse_scd1": dim_warehouse_scd1,
     "fact_shipments": fact_shipments,
@@ -632,11 +681,13 @@ QUERIES: dict[str, Query] = {
     "ingest_quoted_breaks": ingest_quoted_breaks,
     "archive_batch": archive_batch,
     "publish_counts": publish_counts,
+    "publish_incremental": publish_incremental,
     "archive_events": archive_events,
     "export_roundtrip_csv": export_roundtrip_csv,
     "export_roundtrip_parquet": export_roundtrip_parquet,
     "serving_load": serving_load,
     "reconcile": reconcile_layers,
+    "reconcile_recount": reconcile_recount,
 }
 
 

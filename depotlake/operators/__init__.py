@@ -4,7 +4,7 @@ from depotlake.operators.completeness import completeness_counts, expected_files
 from depotlake.operators.grid import grid_join
 from depotlake.operators.latest import latest_by
 from depotlake.operators.quality import add_audit, is_rejected, split_rejects
-from depotlake.operators.balance import layer_counts, reconcile
+from depotlake.operators.balance import layer_counts, reconcile, write_balanced
 from depotlake.operators.merge import upsert
 
 __all__ = [
@@ -19,4 +19,5 @@ __all__ = [
     "reconcile",
     "split_rejects",
     "upsert",
+    "write_balanced",
 ]

@@ -21,7 +21,7 @@ from depotlake.functions import (
     valid_shipment_key,
 )
 from depotlake.functions.shipments import DELAYED
-from depotlake.operators.latest import latest_by
+from depotlake.operators.latest import latest_by, latest_counted
 from depotlake.operators.quality import add_audit, run_time, split_rejects
 
 # Where the rows come from.
@@ -95,12 +95,12 @@ def clean_inventory(accepted: DataFrame) -> DataFrame:
 
 
 def silver_inventory(
-    df: DataFrame, run_ts: datetime | None = None, source_system: str = BATCH_SOURCE
+    df: DataFrame, run_ts: datetime | None = None, source_system: str = BATCH_SOURCE, counted: bool = False
 ) -> DataFrame:
-    """The latest restock of each product in each warehouse."""
+    """The latest restock of each product in each warehouse; ``counted`` adds the rows each replaced."""
     accepted, _ = split_inventory(df)
-    latest = latest_by(clean_inventory(accepted), INVENTORY_KEYS, ["last_restock_date"])
-    return add_audit(latest, source_system, run_ts)
+    choose = latest_counted if counted else latest_by
+    return add_audit(choose(clean_inventory(accepted), INVENTORY_KEYS, ["last_restock_date"]), source_system, run_ts)
 
 
 # --- sales -------------------------------------------------------------------------------
@@ -126,12 +126,12 @@ def clean_sales(accepted: DataFrame) -> DataFrame:
 
 
 def silver_sales(
-    df: DataFrame, run_ts: datetime | None = None, source_system: str = BATCH_SOURCE
+    df: DataFrame, run_ts: datetime | None = None, source_system: str = BATCH_SOURCE, counted: bool = False
 ) -> DataFrame:
-    """The latest sale date of each order line."""
+    """The latest sale date of each order line; ``counted`` adds the rows each replaced."""
     accepted, _ = split_sales(df)
-    latest = latest_by(clean_sales(accepted), SALES_KEYS, ["sale_date"])
-    return add_audit(latest, source_system, run_ts)
+    choose = latest_counted if counted else latest_by
+    return add_audit(choose(clean_sales(accepted), SALES_KEYS, ["sale_date"]), source_system, run_ts)
 
 
 # --- quarantine --------------------------------------------------------------------------

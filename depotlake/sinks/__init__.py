@@ -1,6 +1,6 @@
 """Writers: idempotent table writes, exports and the serving load."""
 
-from depotlake.sinks.publishing import export, load_serving, publish, read_export
+from depotlake.sinks.publishing import export, load_serving, publish, publish_changed, read_export
 from depotlake.sinks.tables import (
     apply_retention,
     ensure_tables,
@@ -18,6 +18,7 @@ __all__ = [
     "load_serving",
     "overwrite_path",
     "publish",
+    "publish_changed",
     "read_export",
     "replace_partition",
     "replace_partitions",
