@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from depotlake.config import scratch_dir
+from depotlake.sources.files import delete_paths
 
 # Python workers see at most this much text of a batch at once, plus one whole document.
 SLICE_BYTES = 8 << 20
@@ -31,6 +32,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables at rest that are deleted together once what is made of them is at rest itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(self.spark, label)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        delete_paths(self.spark, self.paths)
+        self.paths = []
+
+
 _shipped: set[str] = set()
 
 

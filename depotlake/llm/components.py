@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.llm.common import staged
+from depotlake.llm.common import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """node, component (its smallest reachable node), for every node of ``edges`` (a, b).
 
     Each round points every node at its smallest neighbour, follows the pointers to their roots by
     doubling, and contracts the edges to the roots; at least half of the nodes go each round. A hub
     costs one row per edge: minima are combined before the shuffle and hot keys are split by
-    adaptive joins. Null ends and loops are dropped; no edges give no rows.
+    adaptive joins. Null ends and loops are dropped; no edges give no rows. The result reads from ``scratch``.
     """
+    scratch = scratch or Scratch(edges.sparkSession)
+    staged = scratch.staged
     left = staged(edges.select("a", "b").where("a <> b").distinct(), "edges")
     # Pointers of each round from the nodes that were left to their roots.
     labels: DataFrame | None = None

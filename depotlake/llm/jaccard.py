@@ -7,11 +7,12 @@ of all its words. Documents link when ``100 * intersection >= percent * union``.
    shingles from rare to frequent; any order is right, a good one keeps prefixes selective.
 2. Equal sets are one class. The prefix of a set is so long that two linked sets share a shingle
    of their prefixes. Classes with the same prefix and size are one group, which posts the prefix once.
-3. Groups that share a prefix shingle and pass the size and position filters are candidates. They
-   are expanded to their classes, compared by parity bitmaps, which bound the intersection from
-   above, and the remaining pairs verified on the whole sets.
-4. Only connectivity is asked for, so each shingle first compares its classes with one leader of the
-   bucket. What is then connected needs no further comparison: classes outside a bucket's largest
+3. Groups that share a prefix shingle and are of like size meet in a bucket; those without a partner there
+   go before groups are expanded to their classes. Pairs of classes that pass the position filter are
+   compared by parity bitmaps, which bound the intersection from above, and what remains is verified on
+   the whole sets.
+4. Only connectivity is asked for, so each bucket first compares its classes with one leader, which is
+   then done. What is connected needs no further comparison: classes outside a bucket's largest
    component are compared with those of other components, block by block inside the tasks, first
    with the likeliest partners, then with all that are left.
 
@@ -22,17 +23,18 @@ alone. Repeated rows are one class. An empty table gives no rows. Extra columns
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.llm.common import map_arrow, slices, staged, words_of
+from depotlake.llm.common import Scratch, map_arrow, slices, staged, words_of
 from depotlake.llm.components import components
 
 # Cells of the table of counts, sent around in blocks: 8 MB in all, whatever the data.
@@ -182,36 +184,53 @@ def classes_of(filled: DataFrame) -> DataFrame:
     return own.agg(F.min("doc_id").alias("node"), F.first("prefix_key").alias("prefix_key"))
 
 
-def entries(filled: DataFrame, classes: DataFrame) -> DataFrame:
-    """(token, node, n, place): classes in buckets of at least two, by shared prefix shingles.
+def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
+    """(token, node, n, place): classes in buckets of at least two, by shared prefix shingle and size.
 
-    A group, all classes of one prefix and size, posts its prefix once. Groups alone with a
-    shingle are dropped before they are expanded to their classes, which also meet in a bucket
-    of their own.
+    A group, all classes of one prefix and size, posts its prefix once. Groups alone with a shingle are
+    dropped, and so are pairs of groups of too unlike sizes: sizes fall into classes, each a factor of
+    ``percent`` wide, and a group meets those of its own and the neighbouring classes only. What is left is
+    expanded to its classes, which also meet in a bucket of their own.
     """
     key = ["prefix_key", "n"]
     # The smallest doc_id names a group: postings of small numbers take less room than those of keys.
     groups = filled.where("doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("group"), F.min("prefix").alias("prefix")
     )
-    postings = groups.select("group", F.posexplode("prefix").alias("place", "token"))
+    postings = groups.select("group", "n", F.posexplode("prefix").alias("place", "token"))
     shared = postings.groupBy("token").count().where("count > 1").select("token")
+    met = postings.join(shared, "token")
+    # Sizes that allow a link are at most one class apart, so two such groups share a key.
+    width = -math.log(rule.percent / 100) if rule.percent < 100 else 1e-9
+    step = F.floor(F.log(F.col("n").cast("double")) / (width * (1 + 1e-9)))
+    sized = met.select("group", "place", F.explode(F.array(*(F.xxhash64("token", step + i) for i in (0, 1)))).alias("token"))
+    several = sized.groupBy("token").count().where("count > 1").select("token")
     named = classes.groupBy(*key).agg(F.min("node").alias("group"), F.count("*").alias("members"))
     members = classes.select(*key, "node").join(named, key)
-    expanded = postings.join(shared, "token").join(members.select("group", "node", "n"), "group")
+    expanded = sized.join(several, "token").join(members.select("group", "node", "n"), "group")
     own = members.where("members > 1").select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
     return expanded.select("token", "node", "n", "place").union(own)
 
 
-def _against_leader(found: DataFrame, rule: Rule) -> DataFrame:
-    """Each class of a bucket with the bucket's leader, unless they are in one component."""
-    one = F.struct("node", "n", "place", "component")
-    leaders = found.groupBy("token").agg(F.min_by(one, F.xxhash64("node")).alias("l"))
-    pairs = found.join(leaders, "token").where(F.col("component") != F.col("l.component"))
+def _leaders(found: DataFrame) -> DataFrame:
+    """One class of each bucket, chosen by hash, so that it is no other's choice of a common kind."""
+    return found.groupBy("token").agg(F.min_by(F.struct("node", "n", "place"), F.xxhash64("node")).alias("l"))
+
+
+def _against_leader(found: DataFrame, leaders: DataFrame, rule: Rule) -> DataFrame:
+    """Each class of a bucket with the bucket's leader."""
+    pairs = found.join(leaders, "token").where(F.col("node") != F.col("l.node"))
     pairs = pairs.where(_fits(rule, F.col("n"), F.col("l.n"), F.col("place"), F.col("l.place")))
     return pairs.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct()
 
 
+def _without_leaders(found: DataFrame, leaders: DataFrame) -> DataFrame:
+    """What is left to compare: leaders have met everyone, and buckets of two are done."""
+    left = found.join(leaders, "token").where(F.col("node") != F.col("l.node")).drop("l")
+    several = left.groupBy("token").count().where("count > 1").select("token")
+    return left.join(several, "token")
+
+
 def _across(found: DataFrame, described: DataFrame, rule: Rule, best: bool) -> DataFrame:
     """Plausible pairs of a bucket in different components: those outside its largest one with all.
 
@@ -337,8 +356,8 @@ def _marked(nodes: DataFrame) -> np.ndarray:
     return marks
 
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(node, set) of the given nodes, computed from their texts, and of a few others.
+def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> tuple[DataFrame, Broadcast]:
+    """(node, set) of the given nodes, computed from their texts, and of a few others; and what to destroy afterwards.
 
     The nodes are told by a filter of fixed size, so no text is shuffled; what it lets through
     besides is not asked for. The fuller it gets, the more sets are made in vain.
@@ -357,33 +376,41 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["node", "set"])
 
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"))
-    return map_arrow(named, run, "node long, set binary")
+    return map_arrow(named, run, "node long, set binary"), marks
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every row."""
-    described = staged(describe(docs, shingle_counts(docs, rule), rule), "sets")
+    scratch = Scratch(docs.sparkSession)
+    described = scratch.staged(describe(docs, shingle_counts(docs, rule), rule), "sets")
     filled = described.where("n > 0")
-    classes = staged(classes_of(filled), "classes")
-    found = staged(entries(filled, classes), "entries")
+    classes = scratch.staged(classes_of(filled), "classes")
+    found = scratch.staged(entries(filled, classes, rule), "entries")
     links: DataFrame | None = None
     labels: DataFrame | None = None
     for turn in range(ROUNDS):
-        if labels is None:
-            here = found.withColumn("component", F.col("node"))
-        else:
-            here = found.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        # What a round has staged is of no use to the next one, but for its links and what is left.
+        own = Scratch(docs.sparkSession)
         if turn == 0:
-            pairs = _plausible(_against_leader(here, rule), filled, rule)
+            leaders = own.staged(_leaders(found), "leaders")
+            pairs = _plausible(_against_leader(found, leaders, rule), filled, rule)
         else:
+            here = found.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
             pairs = _across(here, filled, rule, best=turn < ROUNDS - 1)
-        pairs = staged(pairs, "pairs")
+        pairs = own.staged(pairs, "pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        more = staged(_verified(pairs, staged(whole_sets(docs, nodes, rule), "whole"), rule), "links")
+        sets, marks = whole_sets(docs, nodes, rule)
+        more = scratch.staged(_verified(pairs, own.staged(sets, "whole"), rule), "links")
+        marks.destroy()
         links = more if links is None else links.union(more)
-        labels = components(links)
+        if turn == 0:
+            found = scratch.staged(_without_leaders(found, leaders), "entries")
+        own.clear()
+        labels = components(links, scratch)
     node = classes.select("k1", "k2", "n", "node").join(labels, "node", "left")
     node = node.select("k1", "k2", "n", F.coalesce("component", "node").alias("component_id"))
     grouped = filled.select("doc_id", "n", "k1", "k2").join(node, ["k1", "k2", "n"], "left")
     alone = described.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return grouped.select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)
+    result = staged(grouped.select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone), "groups")
+    scratch.clear()
+    return result

@@ -122,8 +122,28 @@ def test_components_of_chains_stars_and_loops(spark):
 
 def test_a_shared_prefix_is_posted_once(spark):
     rows = [(k, 20, 10 + k, 0, 7, [1, 2], [0]) for k in range(3)] + [(9, 20, 20, 0, 8, [2, 3], [0])]
+    # Too small to be near one of 20 shingles at 80 %, and one that is near in the next class of sizes.
+    rows += [(11, 10, 30, 0, 5, [1, 2], [0]), (12, 24, 31, 0, 6, [3, 4], [0])]
     described = spark.createDataFrame(rows, jaccard.SETS)
     found = jaccard.entries(described, jaccard.classes_of(described)).collect()
-    # Shingle 2 is shared with another group; the three classes of one prefix meet under its key.
-    expected = [(2, 0), (2, 1), (2, 2), (2, 9), (7, 0), (7, 1), (7, 2)]
-    assert sorted((r.token, r.node) for r in found) == expected
+    buckets = {}
+    for r in found:
+        buckets.setdefault(r.token, set()).add(r.node)
+    # Shingle 2 is shared with another group, 3 with a larger one; the classes of one prefix meet under its key.
+    assert set(map(frozenset, buckets.values())) == {frozenset({0, 1, 2, 9}), frozenset({9, 12}), frozenset({0, 1, 2})}
+    assert buckets[7] == {0, 1, 2}
+
+
+def test_sizes_that_allow_a_link_share_a_key(spark):
+    """Every pair of sizes at the edge of the rule, for several rules."""
+    for percent in (50, 80, 90, 99, 100):
+        rule = jaccard.Rule(3, percent)
+        sizes = sorted({m for n in range(1, 400, 7) for m in (n, n + 1, -(-n * percent // 100), n * 100 // percent)})
+        rows = [(k, n, k, 0, k, [1], [0]) for k, n in enumerate(sizes) if n]
+        described = spark.createDataFrame(rows, jaccard.SETS)
+        met = {}
+        for r in jaccard.entries(described, jaccard.classes_of(described), rule).collect():
+            met.setdefault(r.token, set()).add(r.node)
+        together = {(a, b) for nodes in met.values() for a in nodes for b in nodes if a < b}
+        want = {(i, j) for i, n, *_ in rows for j, m, *_ in rows if i < j and 100 * min(n, m) >= percent * max(n, m)}
+        assert want <= together, percent
