@@ -451,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
                       true""",
         ),
     }
+    found["dim_product_bucketed"] = found["dim_product_scd1"]
     found["reconcile_recount"] = found["reconcile"]
     # The same rows, kept up by micro-batches.
     found["stream_snapshot"] = found["supplychain_snapshot"]

@@ -25,6 +25,7 @@ from depotlake.operators import grid
 from depotlake.plans import gold, increments, lifecycle, run, silver
 from depotlake.sinks import (
     apply_retention,
+    create_bucketed,
     ensure_tables,
     export,
     load_serving,
@@ -34,6 +35,7 @@ from depotlake.sinks import (
     replace_partition,
     replace_partitions,
     replace_table,
+    upsert_bucketed,
     upsert_table,
 )
 from depotlake.sources import list_files, make_folder, read_csv_by_name, read_file_mapping, read_table_stream
@@ -219,6 +221,20 @@ def dim_product_scd1(spark, sf):
     return spark.table(f"{db}.{table.name}")
 
 
+def dim_product_bucketed(spark, sf):
+    """The same merge into a target that is stored in buckets of its key."""
+    table = schemas.DIM_PRODUCT
+    db = scratch_db(spark)
+    create_bucketed(spark, db, table, 8)
+    stock = staged(inventory(spark, sf), "inventory")
+    before = stock.filter(F.col("last_restock_date") < KNOWN_BEFORE)
+    upsert_bucketed(gold.product_source(before, date(2024, 1, 1)), db, table)
+    renamed = F.when(F.col("product_name").endswith("ring"), F.concat("product_name", F.lit(" v2")))
+    now = stock.withColumn("product_name", F.coalesce(renamed, "product_name"))
+    upsert_bucketed(gold.product_source(now, AS_OF), db, table, gold.attribute_changed("product_name"))
+    return spark.table(f"{db}.{table.name}")
+
+
 def dim_warehouse_scd1(spark, sf):
     table = schemas.DIM_WAREHOUSE
     db = scratch_db(spark, (table,))
@@ -655,6 +671,7 @@ QUERIES: dict[str, Query] = {
     "sales_upsert": sales_upsert,
     "sales_incremental": sales_incremental,
     "dim_product_scd1": dim_product_scd1,
+    "dim_product_bucketed": dim_product_bucketed,
     "dim_warehouse_scd1": dim_warehouse_scd1,
     "fact_shipments": fact_shipments,
     "fact_shipments_upsert": fact_shipments_upsert,

@@ -1,5 +1,6 @@
 """Writers: idempotent table writes, exports and the serving load."""
 
+from depotlake.sinks.bucketed import create_bucketed, merged_in_buckets, upsert_bucketed
 from depotlake.sinks.publishing import export, load_serving, publish, publish_changed, read_export
 from depotlake.sinks.tables import (
     apply_retention,
@@ -13,9 +14,11 @@ from depotlake.sinks.tables import (
 
 __all__ = [
     "apply_retention",
+    "create_bucketed",
     "ensure_tables",
     "export",
     "load_serving",
+    "merged_in_buckets",
     "overwrite_path",
     "publish",
     "publish_changed",
@@ -23,5 +26,6 @@ __all__ = [
     "replace_partition",
     "replace_partitions",
     "replace_table",
+    "upsert_bucketed",
     "upsert_table",
 ]
