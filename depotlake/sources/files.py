@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,6 +147,30 @@ def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
         fs.delete(hadoop_path, True)
 
 
+def delete_files(paths: DataFrame) -> int:
+    """Delete the files of a one-column relation, spread over its tasks; returns how many there were.
+
+    For stores that Arrow reaches from the workers (local and mounted folders, HDFS, S3, GCS). A file that is gone
+    already, as when a task runs again, counts as deleted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            done = 0
+            for path in batch.column(0).to_pylist():
+                local = path.startswith("file:") or "://" not in path
+                store, inner = (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+                if store.get_file_info(inner).type != fs.FileType.NotFound:
+                    store.delete_file(inner)
+                done += 1
+            yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["done"])
+
+    spread = paths.hint("rebalance") if paths.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else paths
+    return spread.mapInArrow(run, "done long").agg(F.coalesce(F.sum("done"), F.lit(0))).first()[0]
+
+
 def delete_empty(spark: SparkSession, folders: Iterable[str]) -> None:
     """Delete the folders that hold no file, at any depth."""
     for folder in folders:

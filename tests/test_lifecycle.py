@@ -100,6 +100,28 @@ def test_archive_events_by_age_once_and_purge(spark, tmp_path):
     assert run_once().count() == 0
 
 
+def test_archive_purges_thousands_of_files_without_reading_them_again(spark, tmp_path, monkeypatch):
+    landing, dest = tmp_path / "landing", f"{tmp_path}/archive"
+    for k in range(2_000):
+        write(landing / f"202508{k % 20 + 1:02d}" / f"e {k}.json", json.dumps({"n": k}))
+    report = lifecycle.archive_events(spark, str(landing), dest, AS_OF)
+    assert sum(r.rows_archived for r in report.collect()) == 2_000
+    # Changed since: neither deleted nor taken for the copy. Reading any text now would fail.
+    write(landing / "20250803" / "e 2.json", '{"n": "changed"}')
+    monkeypatch.setattr(type(spark.read), "text", lambda *a, **k: pytest.fail("a text is read again"))
+    lifecycle.archive_events(spark, str(landing), dest, AS_OF, purge=True)
+    assert [p.name for p in landing.rglob("*.json")] == ["e 2.json"]
+
+
+def test_a_lost_archive_run_is_no_part_of_the_archive(spark, tmp_path):
+    landing, dest = tmp_path / "landing", f"{tmp_path}/archive"
+    write(landing / "20250801" / "a.json", "one")
+    spark.createDataFrame([("x", "left behind", 1)], "file_path STRING, value STRING, digest BIGINT").write.json(f"{dest}/run=lost")
+    assert lifecycle.read_archive(spark, dest).count() == 0
+    lifecycle.archive_events(spark, str(landing), dest, AS_OF)
+    assert column(lifecycle.read_archive(spark, dest), "value") == ["one"]
+
+
 def test_archive_events_takes_nested_files_and_leaves_what_it_has_not_archived(spark, tmp_path):
     landing, dest = tmp_path / "20240101" / "landing", f"{tmp_path}/archive"
     write(landing / "20250801" / "a.json", "one")
