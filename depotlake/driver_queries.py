@@ -266,20 +266,7 @@ def fact_shipments_upsert(spark, sf):
 
 def _per_day(states: DataFrame) -> DataFrame:
     """The last state of each shipment on each day."""
-    rows = states.select(
-        "shipment_id",
-        "warehouse_id",
-        "status",
-        F.col("timestamp").alias("event_ts"),
-        F.to_date("timestamp").alias("event_date"),
-        "city",
-        "delay_reason",
-        "is_delayed",
-        "is_recent",
-        "latitude",
-        "longitude",
-        "source_file",
-    )
+    rows = gold.shipment_columns(states)
     return gold.latest_by(rows, schemas.FACT_SHIPMENTS.keys, ["event_ts"])
 
 

@@ -14,7 +14,7 @@ from depotlake.operators.latest import latest_by
 from depotlake.operators.merge import upsert
 from depotlake.operators.quality import run_time
 from depotlake.plans.silver import LATEST_ORDER, SHIPMENT_KEYS
-from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE
+from depotlake.schemas import DIM_PRODUCT, DIM_WAREHOUSE, FACT_SHIPMENTS
 
 # Fixed values of the gold tables.
 LOW_STOCK_BELOW = 50
@@ -102,29 +102,22 @@ def fact_shipments(
 ) -> DataFrame:
     """The latest state of each shipment, if it is recent enough.
 
-    The latest is the one silver keeps; ``order_by=["ingestion_time"]`` takes the last ingested. The age is checked after the choice: a shipment whose last state is too old is left out,
-    an older state must not take its place. ``is_recent`` is the flag silver stored when it
+    The latest is the one silver keeps; ``order_by=["ingestion_time"]`` takes the last ingested.
+    The age is checked after the choice: a shipment whose last state is too old is left out, an
+    older state must not take its place. ``is_recent`` is the flag silver stored when it
     saw the event, unless ``recent_at`` asks for it at another time.
     """
     latest = latest_by(shipments, SHIPMENT_KEYS, order_by)
     if recent_at is not None:
         latest = latest.withColumn("is_recent", is_recent(F.col("timestamp"), run_time(recent_at)))
-    return latest.filter(
-        F.col("timestamp") >= F.date_sub(F.lit(as_of), keep_days).cast("timestamp")
-    ).select(
-        "shipment_id",
-        "warehouse_id",
-        "status",
-        F.col("timestamp").alias("event_ts"),
-        F.to_date("timestamp").alias("event_date"),
-        "city",
-        "delay_reason",
-        "is_delayed",
-        "is_recent",
-        "latitude",
-        "longitude",
-        "source_file",
-    )
+    recent = latest.filter(F.col("timestamp") >= F.date_sub(F.lit(as_of), keep_days).cast("timestamp"))
+    return shipment_columns(recent)
+
+
+def shipment_columns(states: DataFrame) -> DataFrame:
+    """Silver states with the columns of ``fact_shipments``."""
+    times = {"event_ts": F.col("timestamp"), "event_date": F.to_date("timestamp")}
+    return states.withColumns(times).select(*FACT_SHIPMENTS.schema.fieldNames())
 
 
 def supplychain_snapshot(
