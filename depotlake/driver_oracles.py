@@ -155,6 +155,28 @@ def oracle_sql() -> dict[str, str]:
                        CASE WHEN l_linenumber <> 6 THEN last_restock_date END AS last_restock_date
                 FROM inventory_kept""",
         ),
+        "silver_job": using(
+            ("inventory_raw", "inventory_kept", *SALES),
+            """SELECT CAST(NULL AS VARCHAR) AS order_id, product_id, warehouse_id, quantity_in_stock AS quantity, last_restock_date AS day
+               FROM (SELECT *, row_number() OVER (
+                         PARTITION BY warehouse_id, product_id
+                         ORDER BY last_restock_date DESC NULLS LAST, product_name DESC NULLS LAST,
+                                  quantity_in_stock DESC NULLS LAST) AS rn
+                     FROM readable)
+               WHERE rn = 1
+               UNION ALL SELECT order_id, product_id, warehouse_id, quantity_sold, sale_date FROM sales""",
+            readable="""
+                SELECT warehouse_id, product_id, product_name, quantity_in_stock,
+                       CASE WHEN l_linenumber <> 6 THEN last_restock_date END AS last_restock_date
+                FROM inventory_kept""",
+        ),
+        "sales_by_city": using(
+            SALES,
+            """SELECT city, CAST(sum(quantity_sold) AS BIGINT) AS units, count(*) AS lines
+               FROM sales JOIN (VALUES ('WH1', 'Mumbai'), ('WH2', 'Delhi'), ('WH3', 'Bangalore'), ('WH4', 'Chennai'),
+                                       ('WH5', 'Hyderabad')) AS m(warehouse_id, city) USING (warehouse_id)
+               GROUP BY city""",
+        ),
         "silver_sales": using(SALES, f"SELECT *, {AUDIT} FROM sales"),
         "quarantine": using(
             ("inventory_raw", "sales_raw"),

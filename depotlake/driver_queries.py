@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from depotlake import adapters, schemas
-from depotlake.config import Layout, apply_settings, conf, scratch_dir
+from depotlake.config import Layout, apply_settings, conf, dated_path, scratch_dir
 from depotlake.operators import (
     completeness_counts,
     expected_files,
@@ -20,6 +20,7 @@ from depotlake.operators import (
     is_rejected,
     reconcile,
     upsert,
+    write_balanced,
 )
 from depotlake.operators import grid
 from depotlake.plans import gold, increments, lifecycle, run, silver
@@ -38,7 +39,15 @@ from depotlake.sinks import (
     upsert_bucketed,
     upsert_table,
 )
-from depotlake.sources import list_files, make_folder, read_csv_by_name, read_file_mapping, read_table_stream
+from depotlake.sources import (
+    list_files,
+    make_folder,
+    read_csv_by_name,
+    read_file_mapping,
+    read_table,
+    read_table_stream,
+    warehouse_mapping,
+)
 from depotlake.streaming import (
     ProgressTable,
     bronze_shipments,
@@ -512,6 +521,31 @@ def ingest_by_header(spark, sf):
     return read_csv_by_name(spark, halves, schemas.SALES_CSV)
 
 
+def silver_job(spark, sf):
+    """Landed files through ingest and the silver job: dated paths, folders by warehouse, both entities."""
+    layout = Layout(scratch_dir(spark, "lake"))
+    for raw, prefix in ((adapters.inventory_raw_text(spark, sf), "inventory_"), (adapters.sales_raw(spark, sf), "salesorder_")):
+        lifecycle.write_quoted_csv(raw, dated_path(layout.landing_batch, prefix, AS_OF))
+    mapping = spark.createDataFrame([("inventory_", "inventory"), ("salesorder_", "salesorder")], schemas.FILE_MAPPING)
+    lifecycle.ingest_landing(spark, layout.landing_batch, mapping, AS_OF, layout.bronze_batch_root)
+    run.run_silver(spark, layout, AS_OF, RUN_TS)
+    stock = read_table(spark, layout.silver_inventory, schemas.SILVER_INVENTORY)
+    lines = read_table(spark, layout.silver_sales, schemas.SILVER_SALES)
+    return stock.select(
+        F.lit(None).cast("string").alias("order_id"), "product_id", "warehouse_id", F.col("quantity_in_stock").alias("quantity"), F.col("last_restock_date").alias("day")
+    ).unionByName(lines.select("order_id", "product_id", "warehouse_id", F.col("quantity_sold").alias("quantity"), F.col("sale_date").alias("day")))
+
+
+def sales_by_city(spark, sf):
+    """Units per city by the built-in warehouse map, through the view that SQL users see."""
+    warehouse_mapping(spark)
+    sales(spark, sf).createOrReplaceTempView("sales_of_the_day")
+    return spark.sql(
+        "SELECT city, sum(quantity_sold) AS units, count(*) AS lines"
+        " FROM sales_of_the_day JOIN warehouse_mapping USING (warehouse_id) GROUP BY city"
+    )
+
+
 def ingest_quoted_breaks(spark, sf):
     """A landed file of notes over several lines, whose splits end inside of its records."""
     landing, bronze_root = scratch_dir(spark, "landing"), scratch_dir(spark, "bronze")
@@ -611,9 +645,16 @@ def serving_load(spark, sf):
 
 def reconcile_layers(spark, sf):
     """The balance of both silver writes, taken while they run: one scan of the raw rows of each."""
-    layout = Layout(scratch_dir(spark, "lake"))
-    stock = run.write_inventory(adapters.inventory_raw(spark, sf), layout, RUN_TS)
-    return stock.unionByName(run.write_sales(adapters.sales_raw(spark, sf), layout, RUN_TS))
+
+    def balance(entity, raw, rules, make):
+        out = scratch_dir(spark, entity)
+        kept = lambda seen: make(seen, RUN_TS, counted=True)
+        write = lambda rows: rows.write.parquet(out)
+        return write_balanced(entity, raw, is_rejected(rules(raw)), kept, write, lambda: spark.read.parquet(out))
+
+    stock, lines = adapters.inventory_raw(spark, sf), adapters.sales_raw(spark, sf)
+    found = balance("inventory", stock, silver.inventory_rules, silver.silver_inventory)
+    return found.unionByName(balance("sales", lines, silver.sales_rules, silver.silver_sales))
 
 
 def reconcile_recount(spark, sf):
@@ -683,6 +724,8 @@ QUERIES: dict[str, Query] = {
     "ingest_roundtrip": ingest_roundtrip,
     "ingest_by_header": ingest_by_header,
     "ingest_quoted_breaks": ingest_quoted_breaks,
+    "silver_job": silver_job,
+    "sales_by_city": sales_by_city,
     "archive_batch": archive_batch,
     "publish_counts": publish_counts,
     "publish_incremental": publish_incremental,

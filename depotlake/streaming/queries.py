@@ -27,6 +27,7 @@ from depotlake.sources.files import delete_paths, list_files, path_exists
 
 # Fixed value: how late an event may be.
 WATERMARK = "5 minutes"
+LEAST_WRITERS = 4
 
 
 def run_stream(
@@ -35,16 +36,19 @@ def run_stream(
     checkpoint: str,
     name: str | None = None,
     partition_by: Sequence[str] = (),
-    writers: int = 4,
+    writers: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once per checkpoint.
 
     ``available_now`` handles what is there and stops; otherwise the query keeps running
     with back-to-back micro-batches. With ``partition_by``, each micro-batch writes at most
-    ``writers`` files per partition, which also share the rows of a large partition.
+    ``writers`` files per partition, which also share the rows of a large partition; by default they
+    grow with the shuffle partitions the cluster is set to.
     """
     if partition_by:
+        if writers is None:
+            writers = max(LEAST_WRITERS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
         spread = F.pmod(F.xxhash64(*(c for c in df.columns if c not in partition_by)), F.lit(writers))
         df = df.repartition(*partition_by, spread)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
