@@ -76,6 +76,30 @@ def test_a_run_that_died_before_its_lines_is_made_again(spark, db, tmp_path, mon
     assert rows(spark.table(f"{db}.fact_sales_daily").select("qty_sold")) == [(10,)]
 
 
+def test_alerts_of_touched_days_only(spark, db, tmp_path):
+    from depotlake.plans import run
+    from depotlake.schemas import ALERTS_SHIPMENTS
+
+    ensure_tables(spark, db, [FACT_SHIPMENTS, ALERTS_SHIPMENTS])
+    names = FACT_SHIPMENTS.schema.fieldNames()
+
+    def fact(shipment, day, delayed=True):
+        values = dict(zip(names, SHIPMENT, strict=True))
+        values |= {"shipment_id": shipment, "event_date": day, "is_delayed": delayed, "status": "Delayed" if delayed else "Delivered"}
+        return tuple(values[n] for n in names)
+
+    write = lambda *facts: replace_partitions(spark.createDataFrame(list(facts), FACT_SHIPMENTS.schema), db, FACT_SHIPMENTS)
+    update = lambda: run.update_alerts(spark, db, f"{tmp_path}/seen")
+    days = [D, D + timedelta(days=1)]
+    write(fact("S1", days[0]), fact("S2", days[1]), fact("S3", days[1], delayed=False))
+    assert update() == [str(d) for d in days] and update() == []
+    alerts = spark.table(f"{db}.{ALERTS_SHIPMENTS.name}")
+    assert rows(alerts.select("shipment_id")) == [("S1",), ("S2",)]
+    write(fact("S2", days[1]), fact("S4", days[1]))
+    assert update() == [str(days[1])]
+    assert rows(spark.table(f"{db}.{ALERTS_SHIPMENTS.name}").select("shipment_id")) == [("S1",), ("S2",), ("S4",)]
+
+
 # --- publication -------------------------------------------------------------------------
 
 
