@@ -19,6 +19,8 @@ from depotlake.sources.files import delete_paths
 
 # Python workers see at most this much text of a batch at once, plus one whole document.
 SLICE_BYTES = 8 << 20
+# Bytes of a batch on its way between the JVM and a worker, which hold it both; plus one row.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,8 +75,9 @@ def give_back() -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, by batches of a few megabytes."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)
