@@ -4,15 +4,15 @@ A document's old shard is given by a column; within it, a hash of the document p
 ``blocks`` blocks. Only the sizes of blocks reach the driver. There a minimum-cost flow from the old
 shards' sizes to the new capacities says how many bytes go from where to where; staying costs
 nothing. Each old shard's blocks are laid out in a row and cut into stretches of those lengths. A block that
-a cut runs through is split between two documents. Only moved documents are written: the new
-layout is a manifest of all documents plus files with the texts of the moved ones.
+a cut runs through is split between two documents. Every document is written to the files of its new
+shard with its text; ``moved`` tells those that came from another shard.
 
 Capacities differ by a byte at most; a shard's size differs from its capacity by less than the
 documents at its cuts: a cut document goes where its middle lies.
 
 A null text has no bytes and size 1. A null old shard counts as shard ``null_shard``. Null and
 repeated doc_ids and repeated rows are placed row by row. An empty table gives an empty layout.
-Extra columns stay with the texts in the old files and are not read.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -123,10 +123,10 @@ def reshard(
     folder: str | None = None,
     null_shard: int = 0,
 ) -> DataFrame:
-    """Write the moved texts below ``folder`` and return the new layout.
+    """Write the new shards with all texts below ``folder`` and return the new layout.
 
     Columns: doc_id, size, text_crc32, old_shard, shard, slot (gapless from 0 in each shard), moved.
-    For moved documents size and checksum are those of the text that was written. An old shard that is not
+    Size and checksum are those of the text that was written. An old shard that is not
     among the ``old_shards`` fails the job; a null one is ``null_shard``.
     """
     spark = docs.sparkSession
@@ -156,25 +156,18 @@ def reshard(
 
 
 def _write(spark: SparkSession, rows: DataFrame, plan: list[tuple], folder: str) -> None:
-    """The manifest, with the text of each moved document.
-
-    A text travels only if its block has a stretch that moves. Blocks are small and many, so the
-    windows over them are too.
-    """
+    """The new shards, with the text of each document. Blocks are small and many, so the windows over them are too."""
     schema = "old int, block int, first long, last long, shard int"
     cuts = spark.createDataFrame(plan, schema)
     stays = cuts.groupBy("old", "block").agg(
-        F.max(F.col("old") != F.col("shard")).alias("touched"),
-        F.sort_array(F.collect_list(F.struct("first", "last", "shard"))).alias("stretches"),
+        F.sort_array(F.collect_list(F.struct("first", "last", "shard"))).alias("stretches")
     )
     # As many rows as blocks, whose number is bounded by total / BLOCK_BYTES + shards * MIN_BLOCKS.
     placed = rows.join(F.broadcast(stays), ["old", "block"])
     # Large documents first, so a cut through a block falls between small ones if it can.
     order = Window.partitionBy("old", "block").orderBy(F.col("size").desc(), "doc_id", "text_crc32")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    narrow = placed.select(
-        "old", "block", "doc_id", "size", "text_crc32", "stretches", F.when(F.col("touched"), F.col("text")).alias("text")
-    )
+    narrow = placed.select("old", "block", "doc_id", "size", "text_crc32", "stretches", "text")
     # A document goes where its middle lies.
     middle = F.col("at") + F.floor(F.col("size") / 2)
     at = narrow.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0).cast("long"))).withColumn(
@@ -186,15 +179,13 @@ def _write(spark: SparkSession, rows: DataFrame, plan: list[tuple], folder: str)
     )
     moved = F.col("old") != F.col("shard")
     ranked.select(
-        "old", "block", "shard", "place", "doc_id", "size", "text_crc32", moved.alias("moved"), F.when(moved, F.col("text")).alias("text")
+        "old", "block", "shard", "place", "doc_id", "size", "text_crc32", moved.alias("moved"), "text"
     ).write.option("compression", "zstd").partitionBy("shard").parquet(folder)
 
 
 def read_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """The manifest with slots; moved documents are measured anew from the files that hold them."""
-    schema = (
-        "old int, block int, place int, doc_id long, size long, text_crc32 long, moved boolean, text string, shard int"
-    )
+    """The manifest with slots; all documents are measured anew from the files that hold them."""
+    schema = "old int, block int, place int, doc_id long, moved boolean, text string, shard int"
     manifest = spark.read.schema(schema).parquet(folder)
     counts = manifest.groupBy("shard", "old", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("old", "block").rowsBetween(Window.unboundedPreceding, -1)
@@ -202,8 +193,8 @@ def read_layout(spark: SparkSession, folder: str) -> DataFrame:
     own = F.coalesce("text", F.lit(""))
     return manifest.join(F.broadcast(bases), ["shard", "old", "block"]).select(
         "doc_id",
-        F.when(F.col("moved"), F.octet_length(own).cast("long") + 1).otherwise(F.col("size")).alias("size"),
-        F.when(F.col("moved"), F.crc32(own.cast("binary"))).otherwise(F.col("text_crc32")).alias("text_crc32"),
+        (F.octet_length(own).cast("long") + 1).alias("size"),
+        F.crc32(own.cast("binary")).alias("text_crc32"),
         F.col("old").alias("old_shard"),
         "shard",
         (F.col("base") + F.col("place") - 1).alias("slot"),

@@ -74,3 +74,12 @@ def test_bytes_are_near_equal_and_stay_where_they_can(spark):
 def test_old_shards_outside_the_range_are_refused(corners, outside):
     with pytest.raises(Exception, match=f"old shards are 0 to 5, found {outside}"):
         reshard.reshard(corners, F.lit(outside), 6, 8).collect()
+
+
+def test_every_text_is_written_to_its_new_shard(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}" if i % 9 else None) for i in range(300)], "doc_id long, text string")
+    layout = reshard.reshard(docs, F.lit(0), 2, 3, f"{tmp_path}/new").collect()
+    written = {r.doc_id: (r.text, r.shard) for r in spark.read.parquet(f"{tmp_path}/new").collect()}
+    assert any(r.moved for r in layout) and not all(r.moved for r in layout)
+    assert written == {r.doc_id: (f"text {r.doc_id}" if r.doc_id % 9 else None, r.shard) for r in layout}
+    assert len(written) == 300
