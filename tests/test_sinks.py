@@ -291,3 +291,15 @@ def test_only_the_days_at_hand_are_read(spark, db):
     assert "ReadSchema: struct<warehouse_id:string,product_id:string,quantity_in_stock:int,stock_status:string>" in text
     assert "ReadSchema: struct<product_id:string,product_name:string>" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_partitions_are_listed_by_few_tasks(spark, tmp_path):
+    spark.range(60).select(F.col("id"), F.concat(F.lit("WH"), "id").alias("warehouse_id")).write.partitionBy("warehouse_id").parquet(f"{tmp_path}/t")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        found = read_table(spark, f"{tmp_path}/t")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert found.count() == 60 and max(tracker.getStageInfo(s).numTasks for s in stages) <= 16
