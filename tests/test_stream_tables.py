@@ -157,3 +157,35 @@ def test_progress_beyond_what_spark_remembers(spark, steps, tmp_path):
     assert sum(p.numInputRows for p in query.recentProgress) < 12
     (totals,) = progress_totals(spark, f"{tmp_path}/progress").where(F.col("name") == "long").collect()
     assert (totals.input_rows, totals.batches >= 6) == (12, True)
+
+
+def test_batches_that_change_nothing_write_nothing(spark, tmp_path):
+    """Older, equal and repeated events: neither their buckets nor what is derived from them is made again."""
+    out, derived = f"{tmp_path}/out", f"{tmp_path}/all"
+    frame = lambda *e: spark.createDataFrame([(i, minutes(at), minutes(at), s) for i, at, s in e], EVENTS)
+    schema = frame(("a", 1, "")).schema
+    versions = lambda folder: sorted(p.parent.name[-1] + p.name[-1] for p in folder.glob("version=*/bucket=*"))
+    merge = lambda version, *events: merge_latest(frame(*events), version, out, ["id"], ["at"], 4, {derived: lambda rows: rows})
+    many = [(f"k{i}", 5, "first") for i in range(20)]
+    merge(0, *many)
+    before = versions(tmp_path / "out")
+    assert len(before) == 4
+    merge(1, *((i, 3, "older") for i, _, _ in many), *many[:3], (None, 1, "no key"), ("k1", None, "no time"))
+    # The row without a key is new, and its bucket is the only one with a second version.
+    assert len(versions(tmp_path / "out")) == len(versions(tmp_path / "all")) == 5
+    merge(2, *many, ("k7", 6, "newer"))
+    assert len(versions(tmp_path / "out")) == len(versions(tmp_path / "all")) <= 6
+    expected = sorted([(i, "newer" if i == "k7" else "first") for i, _, _ in many] + [(None, "no key")], key=str)
+    for found in (read_latest(spark, out, schema), read_derived(spark, derived, schema)):
+        assert sorted(((r.id, r.state) for r in found.collect()), key=str) == expected
+
+
+def test_a_batch_arrives_in_a_file_for_each_bucket(spark, tmp_path, monkeypatch):
+    """A task of the aggregation used to write a file for each bucket."""
+    from depotlake.streaming import latest
+
+    files = []
+    monkeypatch.setattr(latest, "delete_paths", lambda _, paths: files.extend(tmp_path.glob("out/_arrived/*/bucket=*/*.parquet")))
+    batch = spark.createDataFrame([(f"k{i}", minutes(i), minutes(i), "") for i in range(200)], EVENTS)
+    merge_latest(batch.repartition(16), 0, f"{tmp_path}/out", ["id"], ["at"], 4)
+    assert len(files) == 4
