@@ -76,6 +76,49 @@ def test_a_run_that_died_before_its_lines_is_made_again(spark, db, tmp_path, mon
     assert rows(spark.table(f"{db}.fact_sales_daily").select("qty_sold")) == [(10,)]
 
 
+def test_a_run_that_died_after_its_lines_is_made_again(spark, db, tmp_path, monkeypatch):
+    ensure_tables(spark, db, [FACT_SALES_DAILY])
+    state = f"{tmp_path}/state"
+    merge = lambda *found: increments.merge_sales(spark, lines(spark, *found), db, state)
+    first, second = [("O1", "P1", "WH1", D, 5), ("O3", "P1", "WH1", None, None)], [("O1", "P1", "WH1", D + timedelta(days=1), 9), ("O2", "P1", "WH1", D, 1)]
+    merge(*first)
+
+    def dying(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(increments, "_replace_days", dying)
+        with pytest.raises(OSError, match="lost"):
+            merge(*second)
+    # Its lines are there, but do not count.
+    assert merge(*second) == [D, D + timedelta(days=1)] and merge(*second) == []
+    expected = recomputed(spark, first, second)
+    assert rows(spark.table(f"{db}.fact_sales_daily").select("warehouse_id", "product_id", "sale_date", "qty_sold")) == expected
+
+
+def test_lines_are_dealt_and_grouped_once(spark, db, tmp_path, monkeypatch):
+    """Each run reads the known lines once and deals them out once, for their differences and their new version alike."""
+    ensure_tables(spark, db, [FACT_SALES_DAILY])
+    read, real = [], increments.read_versions
+
+    def reading(session, path, *rest, **named):
+        read.append(path.rsplit("/", 1)[1])
+        return real(session, path, *rest, **named)
+
+    monkeypatch.setattr(increments, "read_versions", reading)
+    plans, write = [], increments.write_version
+
+    def writing(frame, path, version):
+        plans.append((path.rsplit("/", 1)[1], frame._jdf.queryExecution().executedPlan().toString()))
+        write(frame, path, version)
+
+    monkeypatch.setattr(increments, "write_version", writing)
+    increments.merge_sales(spark, lines(spark, ("O1", "P1", "WH1", D, 5), (None, "P1", "WH1", D, 2), (None, "P1", "WH1", D, 3)), db, f"{tmp_path}/state")
+    plan = next(p for kind, p in plans if kind == "lines")
+    assert read.count("lines") == 1 and plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+    assert rows(spark.table(f"{db}.fact_sales_daily").select("qty_sold")) == [(8,)]
+
+
 def test_alerts_of_touched_days_only(spark, db, tmp_path):
     from depotlake.plans import run
     from depotlake.schemas import ALERTS_SHIPMENTS
