@@ -34,6 +34,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotlake.config import conf
 from depotlake.llm.common import Scratch, map_arrow, slices, staged, words_of
 from depotlake.llm.components import components
 
@@ -184,22 +185,25 @@ def classes_of(filled: DataFrame) -> DataFrame:
     return own.agg(F.min("doc_id").alias("node"), F.first("prefix_key").alias("prefix_key"))
 
 
-def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
+def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule(), scratch: Scratch | None = None) -> DataFrame:  # noqa: B008
     """(token, node, n, place): classes in buckets of at least two, by shared prefix shingle and size.
 
     A group, all classes of one prefix and size, posts its prefix once. Groups alone with a shingle are
     dropped, and so are pairs of groups of too unlike sizes: sizes fall into classes, each a factor of
     ``percent`` wide, and a group meets those of its own and the neighbouring classes only. What is left is
-    expanded to its classes, which also meet in a bucket of their own.
+    expanded to its classes, which also meet in a bucket of their own. The result reads from ``scratch``: groups,
+    shared shingles and their postings are written one after the other, so that their shuffle files never lie side by side.
     """
+    scratch = scratch or Scratch(filled.sparkSession)
     key = ["prefix_key", "n"]
     # The smallest doc_id names a group: postings of small numbers take less room than those of keys.
     groups = filled.where("doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("group"), F.min("prefix").alias("prefix")
     )
+    groups = scratch.staged(groups.select("group", "n", "prefix"), "groups")
     postings = groups.select("group", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = postings.groupBy("token").count().where("count > 1").select("token")
-    met = postings.join(shared, "token")
+    shared = scratch.staged(postings.groupBy("token").count().where("count > 1").select("token"), "shared")
+    met = scratch.staged(postings.join(shared, "token"), "met")
     # Sizes that allow a link are at most one class apart, so two such groups share a key.
     width = -math.log(rule.percent / 100) if rule.percent < 100 else 1e-9
     step = F.floor(F.log(F.col("n").cast("double")) / (width * (1 + 1e-9)))
@@ -381,11 +385,19 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> tuple[DataFrame
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every row."""
+    # Every step is at rest once it is written; the shuffle files of its jobs go at once, not when the driver collects garbage.
+    with conf(docs.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        return _near_duplicates(docs, rule)
+
+
+def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     described = scratch.staged(describe(docs, shingle_counts(docs, rule), rule), "sets")
     filled = described.where("n > 0")
     classes = scratch.staged(classes_of(filled), "classes")
-    found = scratch.staged(entries(filled, classes, rule), "entries")
+    own = Scratch(docs.sparkSession)
+    found = scratch.staged(entries(filled, classes, rule, own), "entries")
+    own.clear()
     links: DataFrame | None = None
     labels: DataFrame | None = None
     for turn in range(ROUNDS):

@@ -147,3 +147,18 @@ def test_sizes_that_allow_a_link_share_a_key(spark):
         together = {(a, b) for nodes in met.values() for a in nodes for b in nodes if a < b}
         want = {(i, j) for i, n, *_ in rows for j, m, *_ in rows if i < j and 100 * min(n, m) >= percent * max(n, m)}
         assert want <= together, percent
+
+
+def test_shuffle_files_of_a_step_go_with_it(spark, corners, monkeypatch):
+    """They are deleted as each step is at rest, and sessions get their own setting back."""
+    name, seen, real = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], jaccard.Scratch.staged
+
+    def staged(self, df, label):
+        seen.append((label, spark.conf.get(name)))
+        return real(self, df, label)
+
+    monkeypatch.setattr(jaccard.Scratch, "staged", staged)
+    before = spark.conf.get(name)
+    assert jaccard.near_duplicates(corners).count() == corners.count()
+    assert {"sets", "met", "entries", "links"} <= {label for label, _ in seen} and {on for _, on in seen} == {"true"}
+    assert spark.conf.get(name) == before
