@@ -5,12 +5,17 @@ tokenizers used here never make a token across such a place, so the ids of the p
 the other, are those of the text; a piece that occurs again costs a table lookup. Texts without
 such places are one piece of any length.
 
+A tokenizer that lower-cases, drops white space and tells letters, digits and marks apart, as ``_FOLDABLE`` says, is
+asked for fewer pieces: letters of ASCII are lower-cased first, and texts are cut wherever two kinds of ASCII meet.
+Its pieces go to the library as one text, with a mark between them whose id tells where each ends.
+
 A worker remembers the ids of short pieces only, in a fixed number of bytes; others are encoded each time.
 Null is an empty text, which has no ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import cache
 
@@ -27,18 +32,38 @@ BYTES_KEPT = 80 << 20
 # An entry's key, place and arrays besides the bytes of the piece and of its ids.
 ENTRY_BYTES = 160
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
-# Last bytes of the white space outside ASCII in UTF-8; after these a cut might split a run.
-_LAST = np.zeros(256, bool)
-_LAST[[*range(0x80, 0x8B), 0xA0, 0xA8, 0xA9, 0xAF, 0x9F, *range(0x1C, 0x20)]] = True
-# First bytes of two-byte letters, which share those last bytes and are no white space.
-_LETTER = np.zeros(256, bool)
-_LETTER[0xC3:0xE0] = True
-_MARK = np.zeros(256, bool)
-_MARK[list(b".,;:!?")] = True
-_ASCII_LETTER = np.zeros(256, bool)
-_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# What a byte is, by bits.
+_WHITE, _LAST, _TWO, _MARK, _LETTER, _DIGIT, _SIGN = (1 << i for i in range(7))
+_KINDS = bytearray(256)
+for _bit, _bytes in (
+    (_WHITE, [9, 10, 11, 12, 13, 32]),
+    # Last bytes of the white space outside ASCII in UTF-8; after these a cut might split a run.
+    (_LAST, [*range(0x80, 0x8B), 0xA0, 0xA8, 0xA9, 0xAF, 0x9F, *range(0x1C, 0x20)]),
+    # First bytes of two-byte letters, which share those last bytes and are no white space.
+    (_TWO, range(0xC3, 0xE0)),
+    (_MARK, b".,;:!?"),
+    (_LETTER, [*range(65, 91), *range(97, 123)]),
+    (_DIGIT, range(48, 58)),
+    # Neither the apostrophe, which begins an ending, nor what special tokens hold.
+    (_SIGN, b"!\"#$%&()*+,-./:;=?@[\\]^`{}~"),
+):
+    for _byte in _bytes:
+        _KINDS[_byte] |= _bit
+_KINDS = bytes(_KINDS)
+_SPACES = bytes(32 if _KINDS[b] & _WHITE else b for b in range(256))
+_LOWER = _SPACES.lower()
+
+# Steps of a tokenizer whose pieces can be folded. Lower-casing ASCII beforehand changes nothing but what a
+# combining mark follows; white space is dropped, so all of it is as good as a space.
+_FOLDABLE = (
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "Removed",
+    True,
+    [{"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}],
+)
+# One that no piece holds parts pieces that go to the library together. They are no other character's canonical form.
+_BETWEEN = "@~^%&$#"
 
 
 @cache
@@ -49,16 +74,61 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _cuts(bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Where pieces start, every document's own start included."""
-    white = _WHITE[data]
+@cache
+def _separators(path: str) -> dict[str, int]:
+    """Marks that can part folded pieces, and their ids; none if the tokenizer's pieces are not to be folded."""
+    steps = json.loads(tokenizer(path).to_str())
+    splits = (steps["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    rest = [{k: s.get(k) for k in ("type", "add_prefix_space", "use_regex")} for s in splits[1:]]
+    found = ((steps["normalizer"] or {}).get("normalizers"), splits[0].get("pattern"), splits[0].get("behavior"), splits[0].get("invert"), rest)
+    special = "".join(t["content"] for t in steps["added_tokens"])
+    whole = all(c in "<|>" or (c.islower() and c.isascii()) for c in special) and not any(
+        t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in steps["added_tokens"]
+    )
+    if found != _FOLDABLE or not whole:
+        return {}
+    ids = {c: tokenizer(path).encode(c, add_special_tokens=False).ids for c in _BETWEEN}
+    return {c: own[0] for c, own in ids.items() if len(own) == 1}
+
+
+@cache
+def _specials(path: str) -> list[bytes]:
+    return [t.content.encode() for t in tokenizer(path).get_added_tokens_decoder().values()]
+
+
+def _folded(data: np.ndarray, path: str) -> np.ndarray:
+    """The bytes with spaces for white space and ASCII letters in lower case, but for those before a byte outside ASCII."""
+    raw = data.tobytes()
+    lower = raw.translate(_LOWER)
+    if any(special in lower for special in _specials(path)):
+        # It may be none in the text as it is written.
+        return np.frombuffer(raw.translate(_SPACES), np.uint8)
+    folded = np.frombuffer(lower, np.uint8)
+    before = np.flatnonzero(data[1:] >= 0x80)
+    before = before[(folded[before] != data[before]) & (folded[before] != 32)]
+    if len(before):
+        folded = folded.copy()
+        folded[before] = data[before]
+    return folded
+
+
+def _cuts(bounds: np.ndarray, data: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Where pieces start, every document's own start included; ``fold`` cuts where kinds of ASCII meet."""
+    kind = np.frombuffer(data.tobytes().translate(_KINDS), np.uint8)
+    here, before = kind[1:], kind[:-1]
+    white = (kind & _WHITE).view(bool)
     cut = white.copy()
     cut[1:] &= ~white[:-1]
-    # Both patterns end a run of letters before these marks, and no special token holds them.
-    cut[1:] |= _MARK[data[1:]] & _ASCII_LETTER[data[:-1]]
+    if fold:
+        three = here & (_LETTER | _DIGIT | _SIGN)
+        last = before & (_LETTER | _DIGIT | _SIGN)
+        cut[1:] |= (three != last) & (three != 0) & (last != 0)
+    else:
+        # Both patterns end a run of letters before these marks, and no special token holds them.
+        cut[1:] |= ((here & _MARK) != 0) & ((before & _LETTER) != 0)
     after = np.flatnonzero(cut)
     after = after[after > 0]
-    doubtful = _LAST[data[after - 1]] & ~_LETTER[data[np.maximum(after - 2, 0)]]
+    doubtful = ((kind[after - 1] & _LAST) != 0) & ((kind[np.maximum(after - 2, 0)] & _TWO) == 0)
     cut[after[doubtful]] = False
     cut[: bounds[0]] = False
     cut[bounds[-1] :] = False
@@ -81,11 +151,29 @@ class _Pieces:
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for i in range(0, len(pieces), PIECES_AT_ONCE):
             some = [p.decode() for p in pieces[i : i + PIECES_AT_ONCE]]
-            found = tokenizer(self.path).encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(found.ids, np.uint32))
-            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            own, each = self._together(some) or self._apart(some)
+            ids.append(own)
+            counts.append(each)
         return np.concatenate(ids), np.concatenate(counts)
 
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = tokenizer(self.path).encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Of folded pieces as one text; none if the pieces cannot be told apart there."""
+        separators = _separators(self.path)
+        if not separators:
+            return None
+        text = "\n".join(pieces)
+        for mark, number in separators.items():
+            if mark not in text:
+                found = np.array(tokenizer(self.path).encode(text.replace("\n", f" {mark} "), add_special_tokens=False).ids, np.uint32)
+                ends = np.append(np.flatnonzero(found == number), len(found))
+                if len(ends) == len(pieces):
+                    return found[found != number], np.diff(ends, prepend=-1) - 1
+        return None
+
     def lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in one array, and the start and count of each piece's ids in it."""
         places = np.array([self.place.get(p, -1) for p in pieces], np.int64)
@@ -121,12 +209,14 @@ def _pieces(path: str) -> _Pieces:
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids (uint32) of a column of texts and the bounds of each text's ids."""
     bounds, data = raw_texts(column)
-    cuts = _cuts(bounds, data)
+    fold = bool(_separators(path))
+    cuts = _cuts(bounds, data, fold)
     if not len(cuts):
         return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
     edges = np.append(cuts, bounds[-1]).astype(np.int64)
+    texts = _folded(data, path) if fold else data
     pieces = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(data)]
+        pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(texts)]
     ).dictionary_encode()
     ids, starts, counts = _pieces(path).lookup(pieces.dictionary.to_pylist())
     which = pieces.indices.to_numpy()

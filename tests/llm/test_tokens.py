@@ -24,6 +24,28 @@ def test_ids_are_those_of_the_whole_text(path, texts):
     assert found == pieces_by_library(texts, path)
 
 
+FOLDED = [*"aAHTsStTvVeErR'\"0957.,;:!?*#@~^%&$_<|>/-=+()[] \n\t\x0b\x0c\r", *"\u0301\u0331\u0308\u0307\u0338éÉßİıＡ中\u3000\xa0\x85１²Σσς한\u1100\u1161;`K"]
+FOLDED += ["<|endoftext|>", "<|ENDOFTEXT|>", "'LL", "'Re", "\U0001f642"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(FOLDED), max_size=40).map("".join), max_size=6))
+def test_ids_of_folded_pieces_are_those_of_the_whole_text(texts):
+    ids, bounds = tokens.encode(pa.array(texts, pa.string()), WORD)
+    found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == pieces_by_library(texts, WORD)
+
+
+def test_one_piece_for_all_cases_blanks_and_neighbours_of_a_word(monkeypatch):
+    asked, real = [], tokens._Pieces._encode
+    monkeypatch.setattr(tokens._Pieces, "_encode", lambda self, pieces: asked.extend(pieces) or real(self, pieces))
+    monkeypatch.setattr(tokens, "_pieces", tokens._Pieces)
+    texts = ["a Zebra\nzebra\tZEBRA zebra*** zebra42 (zebra)"]
+    ids, _ = tokens.encode(pa.array(texts), WORD)
+    assert [ids.tolist()] == pieces_by_library(texts, WORD)
+    assert sorted(asked) == [b" (", b" zebra", b")", b"***", b"42", b"a", b"zebra"]
+
+
 def test_special_tokens_nulls_and_sliced_columns():
     texts = ["skip", None, "", "a <|endoftext|> b<|endoftext|>", "x " * 3000]
     ids, bounds = tokens.encode(pa.array(texts, pa.string()).slice(1), BYTE)
