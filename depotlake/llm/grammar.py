@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from depotlake.llm.common import binary_column, map_arrow, slices
+from depotlake.llm.common import binary_column, map_arrow, ragged_take, slices
 from depotlake.llm.tokens import encode, tokenizer, with_end
 
 BLOCK_IDS = 1 << 20
@@ -38,6 +38,7 @@ BLOCK_IDS = 1 << 20
 MIN_PAIRS = 8
 MIN_GAIN = 0.004
 _TABLE_BITS = 18
+_HASH = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 
 BLOCKS = (
     "shard int, block int, first_token long, n_tokens long, base int, doc_ids binary, doc_nulls binary, "
@@ -52,43 +53,57 @@ def compress(ids: np.ndarray, base: int, end: int) -> tuple[np.ndarray, np.ndarr
     Every round counts all pairs, gives rules to those within a quarter of the most frequent one,
     and replaces their occurrences from left to right. Pairs that start with a document's end get none.
     """
-    seq = ids.astype(np.int64)
-    closes = np.zeros(base, bool)
-    closes[end] = True
+    seq = ids.astype(np.uint32)
+    ends = np.flatnonzero(seq == end)
     sizes = np.ones(base, np.int64)
     rules = [np.zeros((0, 2), np.int64)]
     while len(seq) > 1:
-        pair = (seq[:-1] << 32) | seq[1:]
-        slot = ((pair * np.int64(0x9E3779B97F4A7C1 | 1)) >> (62 - _TABLE_BITS)) & ((1 << _TABLE_BITS) - 1)
-        count = np.bincount(slot[~closes[seq[:-1]]], minlength=1 << _TABLE_BITS)
+        # Symbols of 32 bits, whose products wrap; pairs that get no rule share a slot behind the others.
+        slot = ((seq[:-1] * _HASH[0] + seq[1:] * _HASH[1]) >> np.uint32(32 - _TABLE_BITS)).astype(np.intp)
+        slot[ends[: np.searchsorted(ends, len(slot))]] = 1 << _TABLE_BITS
+        count = np.bincount(slot, minlength=(1 << _TABLE_BITS) + 1)
+        count[-1] = 0
         often = max(MIN_PAIRS, int(count.max(initial=0)) // 4)
-        at = np.flatnonzero((count[slot] >= often) & ~closes[seq[:-1]])
+        at = np.flatnonzero((count >= often)[slot])
         if not len(at):
             break
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
         at = at[place % 2 == 0]
-        found, which, times = np.unique(pair[at], return_inverse=True, return_counts=True)
+        pair = (seq[at].astype(np.int64) << 32) | seq[at + 1]
+        found, which, times = np.unique(pair, return_inverse=True, return_counts=True)
         good = times >= min(often, max(MIN_PAIRS, times.max() // 4))
         at, which = at[good[which]], (np.cumsum(good) - 1)[which[good[which]]]
         if not len(at):
             break
         made = np.stack([found[good] >> 32, found[good] & 0xFFFFFFFF], axis=1)
-        first = len(closes)
-        closes = np.append(closes, closes[made[:, 1]])
+        first = len(sizes)
         sizes = np.append(sizes, sizes[made[:, 0]] + sizes[made[:, 1]])
         rules.append(made)
         seq[at] = first + which
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
+        # What closes a document moves to the front by what goes before it, or with it if it is a pair's second symbol.
+        ends = ends - np.searchsorted(at + 1, ends, side="right")
         before, seq = len(seq), seq[keep]
         if often == MIN_PAIRS and before - len(seq) < MIN_GAIN * before:
             break
-    return np.concatenate(rules), sizes[base:], seq
+    return np.concatenate(rules), sizes[base:], seq.astype(np.int64)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
-    """The ids of a run of symbols."""
+    """The ids of a run of symbols. Long runs copy what each rule stands for, which is expanded once."""
+    if len(symbols) > len(rules) > 0:
+        made = _unfold(np.arange(base, base + len(rules)), rules, base)
+        big = symbols >= base
+        which = np.where(big, symbols - base, 0)
+        starts = np.where(big, (np.cumsum(sizes) - sizes)[which], len(made) + np.arange(len(symbols)))
+        return ragged_take(np.append(made, symbols.astype(np.uint32)), starts, np.where(big, sizes[which], 1))
+    return _unfold(symbols, rules, base)
+
+
+def _unfold(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids of symbols, by replacing all rules at once until none is left."""
     seq = symbols.astype(np.int64)
     while len(big := np.flatnonzero(seq >= base)):
         right = rules[seq[big] - base, 1]

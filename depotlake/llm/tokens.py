@@ -7,7 +7,8 @@ such places are one piece of any length.
 
 A tokenizer that lower-cases, drops white space and tells letters, digits and marks apart, as ``_FOLDABLE`` says, is
 asked for fewer pieces: letters of ASCII are lower-cased first, and texts are cut wherever two kinds of ASCII meet.
-Its pieces go to the library as one text, with a mark between them whose id tells where each ends.
+Its pieces go to the library as one text: those of ASCII letters alone are the words it counts itself, others have a
+mark between them whose id tells where each ends.
 
 A worker remembers the ids of short pieces only, in a fixed number of bytes; others are encoded each time.
 Null is an empty text, which has no ids.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -149,12 +151,29 @@ class _Pieces:
 
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for i in range(0, len(pieces), PIECES_AT_ONCE):
-            some = [p.decode() for p in pieces[i : i + PIECES_AT_ONCE]]
-            own, each = self._together(some) or self._apart(some)
-            ids.append(own)
-            counts.append(each)
-        return np.concatenate(ids), np.concatenate(counts)
+        word = np.zeros(len(pieces), bool)
+        if _separators(self.path):
+            word = np.fromiter((p.lstrip(b" ").isalpha() for p in pieces), bool, len(pieces))
+        order = np.argsort(~word, kind="stable")
+        words = int(np.count_nonzero(word))
+        for first, last in ((0, words), (words, len(pieces))):
+            for i in range(first, last, PIECES_AT_ONCE):
+                some = [pieces[k].decode() for k in order[i : min(i + PIECES_AT_ONCE, last)].tolist()]
+                own, each = (first < words and self._words(some)) or self._together(some) or self._apart(some)
+                ids.append(own)
+                counts.append(each)
+        flat, each = np.concatenate(ids), np.concatenate(counts)
+        starts, sizes = np.zeros((2, len(pieces)), np.int64)
+        starts[order], sizes[order] = np.cumsum(each) - each, each
+        return ragged_take(flat, starts, sizes), sizes
+
+    def _words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Of folded pieces of letters alone, each a word to the library; none if it counts others."""
+        found = tokenizer(self.path).encode(" ".join(p.lstrip(" ") for p in pieces), add_special_tokens=False)
+        if None in found.word_ids:
+            return None
+        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+        return (np.array(found.ids, np.uint32), counts) if len(counts) == len(pieces) and counts.all() else None
 
     def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = tokenizer(self.path).encode(pieces, is_pretokenized=True, add_special_tokens=False)
@@ -176,7 +195,7 @@ class _Pieces:
 
     def lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in one array, and the start and count of each piece's ids in it."""
-        places = np.array([self.place.get(p, -1) for p in pieces], np.int64)
+        places = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(places < 0)
         # Short ones first, so that what is kept lies in front of what is used once.
         sizes = np.array([len(pieces[i]) for i in missing.tolist()], np.int64)

@@ -46,6 +46,17 @@ def test_one_piece_for_all_cases_blanks_and_neighbours_of_a_word(monkeypatch):
     assert sorted(asked) == [b" (", b" zebra", b")", b"***", b"42", b"a", b"zebra"]
 
 
+def test_words_of_letters_go_to_the_library_without_marks(monkeypatch):
+    marked, real = [], tokens._Pieces._together
+    monkeypatch.setattr(tokens._Pieces, "_together", lambda self, pieces: marked.extend(pieces) or real(self, pieces))
+    monkeypatch.setattr(tokens, "_pieces", tokens._Pieces)
+    monkeypatch.setattr(tokens, "PIECES_AT_ONCE", 3)
+    texts = ["Some WORDS 12, of letters\tonly; été", "", "others don't (a b) <|endoftext|> x<|endoftext|>y"]
+    ids, bounds = tokens.encode(pa.array(texts), WORD)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == pieces_by_library(texts, WORD)
+    assert marked and not any(p.strip().isascii() and p.strip().isalpha() for p in marked)
+
+
 def test_special_tokens_nulls_and_sliced_columns():
     texts = ["skip", None, "", "a <|endoftext|> b<|endoftext|>", "x " * 3000]
     ids, bounds = tokens.encode(pa.array(texts, pa.string()).slice(1), BYTE)
@@ -113,6 +124,27 @@ def test_grammar_round_trip(documents):
     assert [len(grammar.expand(np.array([10 + k]), rules, sizes, 10)) for k in range(len(rules))] == sizes.tolist()
 
 
+def test_no_rule_starts_with_a_documents_end():
+    """Document ends are followed through all rounds, also when they are a pair's second symbol."""
+    ids = np.array(([5, 6, 7, 8, 2] * 3 + [5, 6, 2, 2, 9, 9, 9, 9, 2]) * 50, np.uint32)
+    rules, sizes, symbols = grammar.compress(ids, 10, 2)
+    closes = [k == 2 for k in range(10)]
+    for first, second in rules.tolist():
+        assert not closes[first]
+        closes.append(closes[second])
+    assert any(closes[10:]) and grammar.expand(symbols, rules, sizes, 10).tolist() == ids.tolist()
+
+
+def test_long_runs_unfold_each_rule_once(monkeypatch):
+    unfolded, real = [], grammar._unfold
+    monkeypatch.setattr(grammar, "_unfold", lambda symbols, *a: unfolded.append(len(symbols)) or real(symbols, *a))
+    ids = np.random.default_rng(1).integers(3, 9, 5_000).astype(np.uint32)
+    rules, sizes, symbols = grammar.compress(ids, 10, 2)
+    assert len(symbols) > len(rules) > 0
+    assert grammar.expand(symbols, rules, sizes, 10).tolist() == ids.tolist()
+    assert unfolded == [len(rules)]
+
+
 def test_grammar_compresses_repeats_and_decodes_ranges():
     ids = np.array(([*range(3, 40), 2]) * 200, np.uint32)
     rules, sizes, symbols = grammar.compress(ids, 100, 2)
