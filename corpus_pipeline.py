@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     groups = staged(jaccard.near_duplicates(docs, jaccard.Rule(size=5, percent=80)), "groups")
     away = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(away, "doc_id", "left_anti").select(docs.columns)
+    kept = jaccard.without(docs, away)
     repeated = groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     if repeated.isEmpty():
         return kept

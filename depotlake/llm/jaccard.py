@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.config import conf
-from depotlake.llm.common import Scratch, map_arrow, slices, staged, words_of
+from depotlake.llm.common import Scratch, map_arrow, ship, slices, staged, words_of
 from depotlake.llm.components import components
 
 # Cells of the table of counts, sent around in blocks: 8 MB in all, whatever the data.
@@ -46,6 +47,8 @@ MIN_BITMAP = 512
 FILTER_BITS = 25
 # One round with a leader per shingle, one with the likeliest partners, one with all that is left.
 ROUNDS = 3
+# Parts, by token, in which postings are shuffled; each one's shuffle files go before the next ones are written.
+POSTING_PARTS = 4
 # Rows of a block when what is left of a bucket is compared.
 BLOCK_ROWS = 512
 
@@ -185,25 +188,30 @@ def classes_of(filled: DataFrame) -> DataFrame:
     return own.agg(F.min("doc_id").alias("node"), F.first("prefix_key").alias("prefix_key"))
 
 
-def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule(), scratch: Scratch | None = None) -> DataFrame:  # noqa: B008
-    """(token, node, n, place): classes in buckets of at least two, by shared prefix shingle and size.
+def groups_of(filled: DataFrame) -> DataFrame:
+    """group (the smallest doc_id, as small numbers take less room than keys), n and prefix of each prefix and size."""
+    found = filled.where("doc_id IS NOT NULL").groupBy("prefix_key", "n")
+    return found.agg(F.min("doc_id").alias("group"), F.min("prefix").alias("prefix")).select("group", "n", "prefix")
 
-    A group, all classes of one prefix and size, posts its prefix once. Groups alone with a shingle are
-    dropped, and so are pairs of groups of too unlike sizes: sizes fall into classes, each a factor of
-    ``percent`` wide, and a group meets those of its own and the neighbouring classes only. What is left is
-    expanded to its classes, which also meet in a bucket of their own. The result reads from ``scratch``: groups,
-    shared shingles and their postings are written one after the other, so that their shuffle files never lie side by side.
+
+def shared_postings(groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, group, n, place) of the prefix shingles that several groups have; reads from ``scratch``.
+
+    Shared shingles and their postings are written one after the other and part by part, so that their
+    shuffle files never lie side by side.
     """
-    scratch = scratch or Scratch(filled.sparkSession)
-    key = ["prefix_key", "n"]
-    # The smallest doc_id names a group: postings of small numbers take less room than those of keys.
-    groups = filled.where("doc_id IS NOT NULL").groupBy(*key).agg(
-        F.min("doc_id").alias("group"), F.min("prefix").alias("prefix")
-    )
-    groups = scratch.staged(groups.select("group", "n", "prefix"), "groups")
     postings = groups.select("group", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = scratch.staged(postings.groupBy("token").count().where("count > 1").select("token"), "shared")
-    met = scratch.staged(postings.join(shared, "token"), "met")
+    parts = []
+    for i in range(POSTING_PARTS):
+        some = postings.where(F.pmod("token", F.lit(POSTING_PARTS)) == i)
+        shared = scratch.staged(some.groupBy("token").count().where("count > 1").select("token"), "shared")
+        parts.append(scratch.staged(some.join(shared, "token"), "met"))
+    return reduce(DataFrame.union, parts)
+
+
+def expanded(met: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """(token, node, n, place) of the classes of all groups that meet one of like size."""
+    key = ["prefix_key", "n"]
     # Sizes that allow a link are at most one class apart, so two such groups share a key.
     width = -math.log(rule.percent / 100) if rule.percent < 100 else 1e-9
     step = F.floor(F.log(F.col("n").cast("double")) / (width * (1 + 1e-9)))
@@ -211,9 +219,21 @@ def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule(), scratch:
     several = sized.groupBy("token").count().where("count > 1").select("token")
     named = classes.groupBy(*key).agg(F.min("node").alias("group"), F.count("*").alias("members"))
     members = classes.select(*key, "node").join(named, key)
-    expanded = sized.join(several, "token").join(members.select("group", "node", "n"), "group")
+    spread = sized.join(several, "token").join(members.select("group", "node", "n"), "group")
     own = members.where("members > 1").select(F.col("prefix_key").alias("token"), "node", "n", F.lit(0).alias("place"))
-    return expanded.select("token", "node", "n", "place").union(own)
+    return spread.select("token", "node", "n", "place").union(own)
+
+
+def entries(filled: DataFrame, classes: DataFrame, rule: Rule = Rule(), scratch: Scratch | None = None) -> DataFrame:  # noqa: B008
+    """(token, node, n, place): classes in buckets of at least two, by shared prefix shingle and size.
+
+    A group, all classes of one prefix and size, posts its prefix once. Groups alone with a shingle are
+    dropped, and so are pairs of groups of too unlike sizes: sizes fall into classes, each a factor of
+    ``percent`` wide, and a group meets those of its own and the neighbouring classes only. What is left is
+    expanded to its classes, which also meet in a bucket of their own. The result reads from ``scratch``.
+    """
+    scratch = scratch or Scratch(filled.sparkSession)
+    return expanded(shared_postings(scratch.staged(groups_of(filled), "groups"), scratch), classes, rule)
 
 
 def _leaders(found: DataFrame) -> DataFrame:
@@ -360,6 +380,11 @@ def _marked(nodes: DataFrame) -> np.ndarray:
     return marks
 
 
+def _is_marked(marks: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    words = (hashed % (1 << FILTER_BITS)) >> 6
+    return (marks[words] >> (hashed % 64)) & 1 == 1
+
+
 def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> tuple[DataFrame, Broadcast]:
     """(node, set) of the given nodes, computed from their texts, and of a few others; and what to destroy afterwards.
 
@@ -371,9 +396,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> tuple[DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashed = batch.column("hashed").to_numpy()
-            words = (hashed % (1 << FILTER_BITS)) >> 6
-            wanted = (marks.value[words] >> (hashed % 64)) & 1
-            batch = batch.filter(pa.array(wanted == 1))
+            batch = batch.filter(pa.array(_is_marked(marks.value, hashed)))
             for part in slices(iter([batch]), "text"):
                 sets = [x.tobytes() for x in shingle_sets(part.column("text"), rule.size)]
                 ids = part.column("doc_id").cast(pa.int64())
@@ -383,6 +406,24 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> tuple[DataFrame
     return map_arrow(named, run, "node long, set binary"), marks
 
 
+def without(docs: DataFrame, away: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among those of ``away``.
+
+    Rows that a filter of fixed size tells to stay are not shuffled with their texts; the others, those to go
+    and the fuller the filter is the more besides, are joined.
+    """
+    ship(docs.sparkSession)
+    marks = docs.sparkSession.sparkContext.broadcast(_marked(away.select(F.col("doc_id").cast("long").alias("node"))))
+
+    @F.arrow_udf("boolean")
+    def marked(hashed: pa.Array) -> pa.Array:
+        return pa.array(_is_marked(marks.value, hashed.to_numpy(zero_copy_only=False)))
+
+    maybe = marked(F.xxhash64(F.col("doc_id").cast("long")))
+    asked = docs.where(maybe).join(away, "doc_id", "left_anti").select(docs.columns)
+    return docs.where(~maybe).unionByName(asked)
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every row."""
     # Every step is at rest once it is written; the shuffle files of its jobs go at once, not when the driver collects garbage.
@@ -392,12 +433,20 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
 
 def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
-    described = scratch.staged(describe(docs, shingle_counts(docs, rule), rule), "sets")
+    # A table is deleted as soon as what is made of it is at rest, so that few lie beside the next step's shuffle files.
+    whole, own, held = (Scratch(docs.sparkSession) for _ in range(3))
+    described = whole.staged(describe(docs, shingle_counts(docs, rule), rule), "described")
     filled = described.where("n > 0")
     classes = scratch.staged(classes_of(filled), "classes")
-    own = Scratch(docs.sparkSession)
-    found = scratch.staged(entries(filled, classes, rule, own), "entries")
+    groups = own.staged(groups_of(filled), "groups")
+    # Only groups post prefixes, which are most of the table.
+    described = scratch.staged(described.drop("prefix", "prefix_key"), "sets")
+    filled = described.where("n > 0")
+    whole.clear()
+    met = shared_postings(groups, whole)
     own.clear()
+    found = held.staged(expanded(met, classes, rule), "entries")
+    whole.clear()
     links: DataFrame | None = None
     labels: DataFrame | None = None
     for turn in range(ROUNDS):
@@ -417,6 +466,7 @@ def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
         links = more if links is None else links.union(more)
         if turn == 0:
             found = scratch.staged(_without_leaders(found, leaders), "entries")
+            held.clear()
         own.clear()
         labels = components(links, scratch)
     node = classes.select("k1", "k2", "n", "node").join(labels, "node", "left")

@@ -1,7 +1,10 @@
+import os
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from depotlake.llm import jaccard
 from depotlake.llm.components import components
@@ -162,3 +165,41 @@ def test_shuffle_files_of_a_step_go_with_it(spark, corners, monkeypatch):
     assert jaccard.near_duplicates(corners).count() == corners.count()
     assert {"sets", "met", "entries", "links"} <= {label for label, _ in seen} and {on for _, on in seen} == {"true"}
     assert spark.conf.get(name) == before
+
+
+def test_few_tables_lie_beside_the_shuffle_files_of_a_step(spark, corners, monkeypatch):
+    """Postings go part by part, prefixes with the groups, and groups before their classes are spread out."""
+    seen, real = [], jaccard.Scratch.staged
+
+    def staged(self, df, label):
+        there = {name for name, path in made if os.path.exists(path.removeprefix("file:"))}
+        found = real(self, df, label)
+        made.append((label, self.paths[-1]))
+        seen.append((label, there, df.columns))
+        return found
+
+    made = []
+    monkeypatch.setattr(jaccard.Scratch, "staged", staged)
+    assert jaccard.near_duplicates(corners).count() == corners.count()
+    assert [label for label, *_ in seen].count("met") == jaccard.POSTING_PARTS
+    there = {label: names for label, names, _ in reversed(seen)}
+    assert "described" not in there["met"] and not {"described", "groups"} & there["entries"]
+    assert "met" not in there["pairs"]
+    assert "prefix" not in next(columns for label, _, columns in seen if label == "sets")
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_rows_are_left_out_with_few_texts_shuffled(spark, monkeypatch, full):
+    rows = [(k % 40 if k % 7 else None, f"text {k}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    away = spark.createDataFrame([(k,) for k in (0, 3, 39, 1000)], "doc_id long")
+    if full:  # a filter that tells nothing
+        monkeypatch.setattr(jaccard, "_marked", lambda nodes: np.full(1 << (jaccard.FILTER_BITS - 6), -1))
+    left = jaccard.without(docs, away)
+    assert left.columns == docs.columns
+    want = [r for r in rows if r[0] not in (0, 3, 39)]
+    assert sorted(left.collect(), key=repr) == sorted((spark.createDataFrame(want, docs.schema)).collect(), key=repr)
+    if not full:
+        hashed = F.xxhash64(F.col("doc_id").cast("long"))
+        asked = jaccard._is_marked(jaccard._marked(away.withColumnRenamed("doc_id", "node")), np.array([r[0] for r in docs.select(hashed).collect()]))
+        assert asked.sum() == len(rows) - len(want)
