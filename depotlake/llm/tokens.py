@@ -7,7 +7,7 @@ such places are one piece of any length.
 
 A tokenizer that lower-cases, drops white space and tells letters, digits and marks apart, as ``_FOLDABLE`` says, is
 asked for fewer pieces: letters of ASCII are lower-cased first, and texts are cut wherever two kinds of ASCII meet.
-Its pieces go to the library as one text: those of ASCII letters alone are the words it counts itself, others have a
+Its pieces go to the library as one text: those of Latin letters alone are the words it counts itself, others have a
 mark between them whose id tells where each ends.
 
 A worker remembers the ids of short pieces only, in a fixed number of bytes; others are encoded each time.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import cache
 from itertools import repeat
 
@@ -64,6 +65,8 @@ _FOLDABLE = (
     True,
     [{"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}],
 )
+# Letters of ASCII and U+00C0 to U+00FF, which no normal form joins or parts.
+_LATIN = re.compile(rb" *(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+").fullmatch
 # One that no piece holds parts pieces that go to the library together. They are no other character's canonical form.
 _BETWEEN = "@~^%&$#"
 
@@ -153,7 +156,7 @@ class _Pieces:
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         word = np.zeros(len(pieces), bool)
         if _separators(self.path):
-            word = np.fromiter((p.lstrip(b" ").isalpha() for p in pieces), bool, len(pieces))
+            word = np.fromiter((_LATIN(p) is not None for p in pieces), bool, len(pieces))
         order = np.argsort(~word, kind="stable")
         words = int(np.count_nonzero(word))
         for first, last in ((0, words), (words, len(pieces))):
