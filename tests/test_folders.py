@@ -1,0 +1,135 @@
+"""Folders by partition value, written by Arrow as Spark's writer would."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from depotlake.sinks import folders, overwrite_path
+from depotlake.sinks.folders import can_write_folders, write_folders
+from tests.helpers import rows
+
+SCHEMA = (
+    "id bigint, place string, day date, at timestamp, plain timestamp_ntz, n int, tiny tinyint, short smallint,"
+    " real float, x double, ok boolean, money decimal(12,2), raw binary"
+)
+
+
+def sample(spark):
+    places = ["WH1", "wh 2", None, "", "a/b", "a=b", "50%", "c:\\d", "{x}[y]^*?#'\"", "tab\there", "Zürich", "_hidden?", "007"]
+    made = []
+    for i in range(200):
+        k = places[i % len(places)]
+        full = (date(2024, 1, 1 + i % 3), datetime(2024, 1, 1, 12, 0, 0, i), datetime(2024, 1, 1), i, i % 100, i, i / 2, i / 3, i % 2 == 0, Decimal(i) / 4, bytes([i]))
+        made.append((i, k, *(full if i % 5 else [None] * len(full))))
+    return spark.createDataFrame(made, SCHEMA)
+
+
+def names(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*") if p.is_dir())
+
+
+@pytest.mark.parametrize("by", [["place"], ["day", "place"], ["n"]])
+def test_folders_and_rows_are_those_of_sparks_writer(spark, tmp_path, by):
+    df = sample(spark)
+    df.write.partitionBy(*by).parquet(f"{tmp_path}/spark")
+    overwrite_path(df, f"{tmp_path}/arrow", by)
+    assert names(tmp_path / "arrow") == names(tmp_path / "spark")
+    read = lambda name: spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}").select(*df.columns)
+    assert rows(read("arrow")) == rows(read("spark"))
+    assert read("arrow").count() == 200
+    # Also without a given schema.
+    free = lambda name: spark.read.parquet(f"{tmp_path}/{name}").select(*df.columns)
+    assert free("arrow").schema == free("spark").schema and rows(free("arrow")) == rows(free("spark"))
+
+
+def test_a_folder_costs_a_file_and_no_process(spark, tmp_path):
+    """The checksum files of Hadoop's local file system took two processes each, and one for each file and folder."""
+    df = spark.range(300).select("id", F.concat(F.lit("WH"), F.col("id") % 60).alias("warehouse_id"))
+    overwrite_path(df, f"{tmp_path}/out", ["warehouse_id"])
+    found = sorted(p.name for p in tmp_path.rglob("*") if p.is_file())
+    assert len([n for n in found if n.endswith(".parquet")]) == 60 and len(found) == 61 and "_SUCCESS" in found
+    assert names(tmp_path) == sorted(["out", *(f"out/warehouse_id=WH{k}" for k in range(60))])
+
+
+def test_a_lost_job_leaves_the_former_rows(spark, tmp_path):
+    path, df = f"{tmp_path}/out", spark.range(8).withColumn("w", F.col("id") % 2)
+    overwrite_path(df, path, ["w"])
+    with pytest.raises(PySparkException, match="no more"):
+        overwrite_path(df.withColumn("id", F.when(F.col("id") == 5, F.raise_error(F.lit("no more"))).otherwise(F.col("id"))), path, ["w"])
+    assert spark.read.parquet(path).count() == 8
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_rows_of_attempts_that_did_not_end_are_left_out(spark, tmp_path, monkeypatch):
+    moved = []
+    real = folders._move_into
+
+    def with_another(source, target):
+        # An attempt that the driver has not heard of.
+        lost = tmp_path / "_out.writing" / "attempts" / "lost" / "w=1"
+        if not moved:
+            lost.mkdir(parents=True)
+            (lost / "part.parquet").write_bytes(b"half a file")
+        moved.append(source)
+        real(source, target)
+
+    monkeypatch.setattr(folders, "_move_into", with_another)
+    overwrite_path(spark.range(8).withColumn("w", F.col("id") % 2), f"{tmp_path}/out", ["w"])
+    assert moved and spark.read.parquet(f"{tmp_path}/out").count() == 8
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_a_large_folder_has_row_groups_and_shares_of_several_tasks(spark, tmp_path, monkeypatch):
+    from pyarrow import parquet
+
+    monkeypatch.setattr(folders, "ROW_GROUP_BYTES", 50_000)
+    df = spark.range(0, 60_000, 1, 3).select("id", F.lit("one").alias("w"))
+    write_folders(df, f"{tmp_path}/out", ["w"])
+    files = list(tmp_path.rglob("*.parquet"))
+    assert len(files) == 3 and all(parquet.read_metadata(f).num_row_groups > 1 for f in files)
+    assert rows(spark.read.parquet(f"{tmp_path}/out").agg(F.count("id"), F.sum("id"))) == [(60_000, 60_000 * 59_999 // 2)]
+
+
+def test_no_rows_are_an_empty_table(spark, tmp_path):
+    df = spark.range(4).withColumn("w", F.lit("a"))
+    overwrite_path(df, f"{tmp_path}/out", ["w"])
+    overwrite_path(df.where("id < 0"), f"{tmp_path}/out", ["w"])
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["_SUCCESS"]
+    assert spark.read.schema(df.schema).parquet(f"{tmp_path}/out").count() == 0
+
+
+def test_other_types_and_stores_are_left_to_spark(spark, tmp_path):
+    df = spark.range(4).withColumn("w", F.lit("a"))
+    assert can_write_folders(df, f"{tmp_path}/out", ["w"]) and can_write_folders(df, f"file://{tmp_path}/out", ["w"])
+    assert not can_write_folders(df.withColumn("list", F.array("id")), f"{tmp_path}/out", ["w"])
+    assert not can_write_folders(df.withColumn("w", F.lit(1.5)), f"{tmp_path}/out", ["w"])
+    assert not can_write_folders(df.select("w"), f"{tmp_path}/out", ["w"])
+    overwrite_path(df.withColumn("list", F.array("id")), f"{tmp_path}/out", ["w"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+
+
+def test_rows_are_counted_by_their_footers(spark, tmp_path):
+    df = sample(spark)
+    overwrite_path(df, f"{tmp_path}/arrow", ["place"])
+    df.write.partitionBy("day", "place").parquet(f"{tmp_path}/spark")
+    df.write.parquet(f"{tmp_path}/flat")
+    (tmp_path / "flat" / "_hidden").mkdir()
+    (tmp_path / "flat" / "_hidden" / "x.parquet").write_bytes(b"")
+    assert [folders.count_rows(spark, f"{tmp_path}/{n}") for n in ("arrow", "spark", "flat")] == [200, 200, 200]
+
+
+def test_a_lost_row_shows_in_the_balance_of_folders(spark, tmp_path):
+    from depotlake.config import Layout
+    from depotlake.plans import run
+
+    layout = Layout(str(tmp_path))
+    raw = spark.createDataFrame(
+        [(f"wh{k % 7}", f"p{k}", "Lamp", None, "1", "2025-07-02") for k in range(40)],
+        "warehouse_id string, product_id string, product_name string, category string, quantity_in_stock string, last_restock_date string",
+    )
+    report = run.write_inventory(raw, layout).first()
+    assert (report.rows_in, report.rows_out, report.is_balanced) == (40, 40, True)
+    assert folders.count_rows(spark, layout.silver_inventory) == 40

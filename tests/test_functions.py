@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,18 @@ def test_is_recent_bounds_and_null(spark):
 def test_valid_shipment_key(spark, shipment, warehouse, kept):
     df = spark.createDataFrame([(shipment, warehouse)], "s string, w string")
     assert (df.filter(valid_shipment_key(F.col("s"), F.col("w"))).count() == 1) is kept
+
+
+def test_dates_cast_and_parsed_alike(spark):
+    """What the cheap way takes must give what the formats give, for texts of any shape."""
+    from depotlake.functions.columns import DATE_FORMATS
+
+    pieces = ["0000", "0001", "1", "02", "9", "12", "13", "007", "29", "30", "31", "45", "2023", "2024", "1900", "9999", "12024", "", " 5", "x", "+1", "-2", "٣"]
+    texts = [sep.join(p) for sep in "/-" for p in product(pieces, repeat=3)]
+    texts += ["2024-01-05 ", "\t2024-01-05", "2024-01-05\n", "1/2/2024\n", "1/2/2024 10:00", "2024-01-05T00:00", "1-2/2024", "1/2-2024", "2024-1-5", "20240105", "1/2/2024/3", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    text = F.trim("t")
+    slow = F.coalesce(*(F.when(text.contains(sep), F.try_to_date(text, f)) for f, sep in zip(DATE_FORMATS, "/-", strict=True)))
+    found = df.select("t", parse_date("t").alias("fast"), slow.alias("slow"))
+    assert found.where(~F.col("fast").eqNullSafe(F.col("slow"))).collect() == []
+    assert found.where("fast IS NOT NULL").count() > 100
