@@ -190,3 +190,62 @@ def test_a_batch_arrives_in_a_file_for_each_bucket(spark, steps, tmp_path, monke
     latest_table_stream(steps.stream(), f"{tmp_path}/out", f"{tmp_path}/cp", ["id"], ["at", "seen"], buckets=3).awaitTermination()
     written = list(tmp_path.glob("out/version=*/bucket=*/*.parquet"))
     assert len(files) == 3 and len(written) == 3
+
+
+def test_a_derived_table_has_room_for_its_former_version_only(spark, tmp_path, monkeypatch):
+    """Each version is as large as the table: a third one beside the two that stay was the most the disk had to hold."""
+    from depotlake.streaming import latest
+
+    out, derived = f"{tmp_path}/out", tmp_path / "all"
+    frame = lambda state: spark.createDataFrame([(f"k{i}", minutes(state), T, str(state)) for i in range(20)], EVENTS)
+    schema = frame(0).schema
+    there, write = [], latest.write_version_in_place
+
+    def watched(*args):
+        there.append(len(list(derived.glob("version=*/bucket=*/"))))
+        write(*args)
+
+    monkeypatch.setattr(latest, "write_version_in_place", watched)
+    for version in [0, 1, 2, 3, 3, 4]:
+        merge_latest(frame(version), version, out, ["id"], ["at"], 4, {str(derived): lambda rows: rows})
+        assert {r.state for r in read_derived(spark, str(derived), schema).collect()} == {str(version)}
+        assert read_derived(spark, str(derived), schema).count() == 20
+    # Version 3 came twice, and the write deletes what it left first.
+    assert there == [0, 4, 4, 4, 8, 4]
+
+
+def test_derived_rows_are_written_where_they_are_made(spark, tmp_path):
+    """Pairs are many times the rows they are made of: no shuffle by buckets, no sort, and few tasks, each with a file for each bucket."""
+    out, derived = f"{tmp_path}/out", tmp_path / "pairs"
+    batch = spark.createDataFrame([(f"k{i}", T, T, "") for i in range(40)], EVENTS)
+    pairs = lambda rows: rows.repartition(50).crossJoin(spark.range(30).withColumnRenamed("id", "n"))
+    merge_latest(batch, 0, out, ["id"], ["at"], 4, {str(derived): pairs})
+    files = list(derived.glob("version=*/bucket=*/*.parquet"))
+    tasks = {f.name.split("-")[1] for f in files}
+    assert len(tasks) <= 4 * spark.sparkContext.defaultParallelism < 50 and len(files) > 4
+    schema = pairs(batch).schema
+    assert read_derived(spark, str(derived), schema).count() == read_derived(spark, str(derived), schema).distinct().count() == 40 * 30
+
+
+def test_a_micro_batch_leaves_no_shuffle_files(spark, steps, tmp_path):
+    """They stayed until the driver collected garbage, those of all micro-batches together."""
+    spark._jvm.System.gc()
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        found = [files.apply(k) for k in range(files.size())]
+        return sum(f.length() for f in found if f.getName().startswith("shuffle_"))
+
+    def derive(rows):
+        many = rows.crossJoin(spark.range(2_000).withColumnRenamed("id", "n"))
+        return many.select("id", "n", F.sha2(F.concat("id", F.lit("/"), F.col("n").cast("string")), 256).alias("text")).repartition("n")
+
+    before = shuffled()
+    steps.land(*((f"k{i}", i, i, "") for i in range(200)))
+    latest_table_stream(
+        steps.stream(), f"{tmp_path}/out", f"{tmp_path}/cp", ["id"], ["at", "seen"], buckets=3, derived={f"{tmp_path}/d": derive}
+    ).awaitTermination()
+    # Those of the stream's own aggregation, a row for each event, may stay.
+    assert shuffled() - before < 1_000_000
+    assert read_derived(spark, f"{tmp_path}/d", spark.createDataFrame([], "id string, n long, text string").schema).distinct().count() == 400_000
