@@ -227,6 +227,18 @@ def test_derived_rows_are_written_where_they_are_made(spark, tmp_path):
     assert read_derived(spark, str(derived), schema).count() == read_derived(spark, str(derived), schema).distinct().count() == 40 * 30
 
 
+def test_a_writer_for_each_bucket_stays_open(spark, tmp_path, monkeypatch):
+    """With as many writers as it may keep, Spark sorts the rest of a task's rows: all pairs, by buckets."""
+    from depotlake.sinks import versions
+
+    kept = []
+    monkeypatch.setattr(versions, "conf", lambda session, **settings: kept.append(settings) or conf(session, **settings))
+    rows_of = spark.range(0, 3_000, 1, 2).withColumn("bucket", (F.col("id") % 3).cast("int"))
+    versions.write_version_in_place(rows_of, f"{tmp_path}/out", 0, 3)
+    assert [int(s["spark__sql__maxConcurrentOutputFileWriters"]) for s in kept] == [4]
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3_000
+
+
 def test_a_micro_batch_leaves_no_shuffle_files(spark, steps, tmp_path):
     """They stayed until the driver collected garbage, those of all micro-batches together."""
     spark._jvm.System.gc()
